@@ -33,6 +33,24 @@ def half_even_2(c) -> Column:
     return F.bround(F.round(c, 9), 2)
 
 
+def fixed(c: str, digits: int) -> Column:
+    """Text with a fixed number of decimals, rounded on the exact binary value, half to even.
+
+    The built-in formatter rounds the shortest decimal form half up, which moves ties such as 71.55. The
+    fraction is therefore scaled to an integer of as many bits as a long allows, where comparing with one half is
+    exact.
+    """
+    ten = 10 ** digits
+    bits = 63 - ten.bit_length()
+    whole, part = f"CAST(floor(abs({c})) AS bigint)", f"CAST((abs({c}) - floor(abs({c}))) * {1 << bits}D AS bigint) * {ten}L"
+    low, rest = f"shiftright({part}, {bits})", f"(({part}) & {(1 << bits) - 1}L)"
+    up = f"CASE WHEN {rest} > {1 << (bits - 1)}L OR ({rest} = {1 << (bits - 1)}L AND ({low}) % 2 = 1) THEN 1L ELSE 0L END"
+    scaled = f"({whole} * {ten}L + {low} + {up})"
+    return F.expr(
+        f"concat(CASE WHEN {c} < 0 THEN '-' ELSE '' END, CAST({scaled} DIV {ten}L AS string), '.', "
+        f"lpad(CAST({scaled} % {ten}L AS string), {digits}, '0'))")
+
+
 def missing(c: str, dtype: str) -> Column:
     test = F.col(c).isNull()
     return test | F.isnan(F.col(c)) if dtype in ("double", "float") else test

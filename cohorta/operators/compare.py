@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohorta.functions.exprs import fixed
 from cohorta.operators.rules import display_label
 from cohorta.operators.stats import cluster_means, distinct_labels, label_facts
 
@@ -29,7 +30,7 @@ def compare_algorithms(labelled: DataFrame) -> DataFrame:
 def comparison_formatted(comparison: DataFrame) -> DataFrame:
     return comparison.select(
         "algorithm", "n_clusters", "total_samples", "noise_count",
-        F.format_string("%.2f%%", F.col("noise_ratio") * 100).alias("noise_pct"))
+        F.concat(fixed("(noise_ratio * 100)", 2), F.lit("%")).alias("noise_pct"))
 
 
 def plot_comparison(comparison: DataFrame) -> DataFrame:

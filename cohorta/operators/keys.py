@@ -61,8 +61,12 @@ class Collapsed:
         """Hand per-point values (keyed by pid) back to every row."""
         if not self.has_copies:
             return values.withColumnRenamed("pid", self.id_col)
-        known = self.points.select("pid", *self.by).join(values, "pid")
-        return self.rows.select(self.id_col, *self.by).join(known, list(self.by)).drop("pid", *self.by)
+        keys = [f"_by{i}" for i in range(len(self.by))]  # apart from any name the values may use
+
+        def keyed(df, col):
+            return df.select(col, *[F.col(c).alias(k) for c, k in zip(self.by, keys)])
+        known = keyed(self.points, "pid").join(values, "pid")
+        return keyed(self.rows, self.id_col).join(known, keys).drop("pid", *keys)
 
 
 def collapse(df: DataFrame, id_col: str, features, within=()) -> Collapsed:

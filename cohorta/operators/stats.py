@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohorta.functions.exprs import half_even_2, missing
+from cohorta.functions.exprs import fixed, half_even_2, missing
 from cohorta.operators.dbscan import NOISE
 
 # Noise share and cluster counts behind the density quality flag.
@@ -83,9 +83,10 @@ def cluster_sizes(df: DataFrame, k: int) -> DataFrame:
     total = F.sum("size").over(Window.partitionBy())
     sized = counts.withColumn("total", total)  # a window over one row per cluster
     wanted = df.sparkSession.range(k).select(F.col("id").cast("int").alias("cluster"))
-    return wanted.join(F.broadcast(sized), "cluster", "left").select(
+    return wanted.join(sized, "cluster", "left").select(
         "cluster", F.coalesce("size", F.lit(0)).alias("size"),
-        F.format_string("%.1f", F.coalesce(F.col("size") / F.col("total") * 100, F.lit(0.0))).alias("share_pct"))
+        F.coalesce(F.col("size") / F.col("total") * 100, F.lit(0.0)).alias("share"),
+    ).select("cluster", "size", fixed("share", 1).alias("share_pct"))
 
 
 def cluster_sizes_non_noise(df: DataFrame) -> DataFrame:
