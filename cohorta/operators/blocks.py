@@ -20,6 +20,8 @@ from cohorta.session import cut, parallelism, stage
 BLOCK_BITS = 9
 BLOCK_ROWS = 1 << BLOCK_BITS
 BLOCKS_PER_PART = 256
+#: Range partitions at most; their pairs are enumerated, and beyond this the partitions grow instead.
+MAX_PARTS = 8192
 #: Block payload up to which a pair join may broadcast the blocks instead of shuffling them.
 BROADCAST_BYTES = 48 << 20
 
@@ -73,7 +75,7 @@ def pack(points: DataFrame, features, n_points: int, carry=(), first=()) -> Bloc
     spark = points.sparkSession
     cores = parallelism(spark)
     full = ceil(n_points / BLOCK_ROWS)
-    parts = max(1, min(full, max(cores, ceil(full / BLOCKS_PER_PART))))
+    parts = max(1, min(full, MAX_PARTS, max(cores, ceil(full / BLOCKS_PER_PART))))
     order = [*first, "curve", "pid"]
     # Upper bits: range partition; lower 33 bits: position in it. Few blocks need no coarser level.
     at = F.monotonically_increasing_id()

@@ -13,6 +13,7 @@ from pyspark.ml.clustering import PowerIterationClustering
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohorta.operators.blocks import BROADCAST_BYTES
 from cohorta.operators.keys import connected_components, dense_index
 from cohorta.operators.kmeans import kmeans
 from cohorta.operators.neighbors import knn_graph
@@ -59,18 +60,22 @@ def _mix(names, weights) -> str:
 class _Vectors:
     """p vectors over the rows of a graph: columns y0.. (current) and x0.. (previous filter step)."""
 
-    def __init__(self, edges: DataFrame, nodes: DataFrame, p: int):
-        self.edges, self.p = edges, p
+    def __init__(self, edges: DataFrame, nodes: DataFrame, n_nodes: int, p: int):
+        self.edges, self.n_nodes, self.p = edges, n_nodes, p
         self.y, self.x = [f"y{j}" for j in range(p)], [f"x{j}" for j in range(p)]
         # Repeatable noise from the key; any start that is not orthogonal to the answer will do.
         noise = [f"xxhash64(id, {j}) / 9.3e18D AS y{j}" for j in range(p)]
         self.state = cut(nodes.selectExpr("id", "comp", "s", *noise))
 
+    def _sources(self) -> DataFrame:
+        """Current vectors by edge source; broadcast while their size, known from the row count, is small."""
+        out = self.state.select(F.col("id").alias("src"), *self.y)
+        return F.broadcast(out) if self.n_nodes * (self.p + 1) * 8 <= BROADCAST_BYTES else out
+
     def _times(self) -> DataFrame:
         """The graph matrix times the current vectors, beside the state, as m0..."""
         sums = [F.sum(F.col("weight") * F.col(y)).alias(f"m{j}") for j, y in enumerate(self.y)]
-        prod = self.edges.join(self.state.select(F.col("id").alias("src"), *self.y), "src").groupBy(
-            F.col("dst").alias("id")).agg(*sums)
+        prod = self.edges.join(self._sources(), "src").groupBy(F.col("dst").alias("id")).agg(*sums)
         return self.state.join(prod, "id", "left").fillna(0.0, [f"m{j}" for j in range(self.p)])
 
     def deflate(self):
@@ -81,18 +86,24 @@ class _Vectors:
         self.state = cut(self.state.join(part, "comp").selectExpr(
             "id", "comp", "s", *[f"{y} - s * c{j} AS {y}" for j, y in enumerate(self.y)]))
 
+    def _step(self, a: float, b: float, c: float):
+        """y becomes a * (matrix times y) + b * y + c * x, and x the old y: one join and one grouped sum."""
+        old = f"{c!r}D * x{{0}}" if c else "0D"
+        own = self.state.selectExpr(
+            "id", "comp", "s", *[f"{b!r}D * y{j} + {old.format(j)} AS y{j}" for j in range(self.p)],
+            *[f"y{j} AS x{j}" for j in range(self.p)])
+        flow = self.edges.join(self._sources(), "src").selectExpr(
+            "dst AS id", "CAST(NULL AS bigint) AS comp", "CAST(NULL AS double) AS s",
+            *[f"{a!r}D * weight * y{j} AS y{j}" for j in range(self.p)], *[f"0D AS x{j}" for j in range(self.p)])
+        self.state = cut(own.union(flow).groupBy("id").agg(
+            F.max("comp").alias("comp"), F.max("s").alias("s"), *[F.sum(v).alias(v) for v in self.y + self.x]))
+
     def filter(self, low: float, degree: int):
         """Chebyshev polynomial that is small on [-1, low] and grows above it."""
         half, mid = (low + 1) / 2, (low - 1) / 2
-        for t in range(degree):
-            step = [f"(m{j} - {y} * ({mid!r}D)) / {half!r}D" for j, y in enumerate(self.y)]
-            if t:
-                step = [f"2D * {e} - {x}" for e, x in zip(step, self.x)]
-            self.state = self._times().selectExpr(
-                "id", "comp", "s", *[f"{e} AS y{j}" for j, e in enumerate(step)],
-                *[f"{y} AS x{j}" for j, y in enumerate(self.y)])
-            if t % 2 or t == degree - 1:
-                self.state = cut(self.state)
+        self._step(1 / half, -mid / half, 0.0)
+        for _ in range(1, degree):
+            self._step(2 / half, -2 * mid / half, -1.0)
 
     def ritz(self):
         """Rotate to Ritz vectors; returns their values and residual norms, largest value first."""
@@ -138,7 +149,8 @@ def embedding(edges: DataFrame, degree: DataFrame, comps: DataFrame, k: int, spa
     more = k - len(lead)
     if not more:
         return nodes.selectExpr("id", *marks)
-    vec = _Vectors(normalized_affinity(edges, degree).transform(cut), nodes, more + spare)
+    n_nodes = nodes.count()
+    vec = _Vectors(cut(normalized_affinity(edges, degree)), nodes, n_nodes, more + spare)
     low = 0.5
     for _ in range(max_rounds):
         vec.deflate()
