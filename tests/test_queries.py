@@ -26,5 +26,6 @@ def test_query(spark, con, sf, name):
 
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {
+    own = {n for n in entry.queries() if n != "pipeline" and not n.startswith("op")}
+    assert own - set(entry.oracle_sql()) == {
         "kmeans_labels", "spectral_labels", "spectral_discretize", "spectral_pic", "batch_summary"}
