@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cohorta.llm.exact_dedup import exact_dedup
 from cohorta.llm.packing import pack
 from cohorta.llm.token_files import round_trip
+from cohorta.llm.toxicity import toxicity
 from cohorta.sources.tables import load
 
 
@@ -20,12 +21,16 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(load(spark, folder, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(load(spark, folder, "documents"), load(spark, folder, "labels"))
+
+
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return round_trip(load(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_exact_dedup, op5_best_fit_packing, op10_token_files)}
+    f.__name__: f for f in (op3_exact_dedup, op5_best_fit_packing, op9_toxicity, op10_token_files)}
 
 ORACLES = {
     "op3_exact_dedup": """
