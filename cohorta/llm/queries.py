@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cohorta.llm.decontaminate import leaks
 from cohorta.llm.exact_dedup import exact_dedup
+from cohorta.llm.jaccard_join import jaccard_components
 from cohorta.llm.packing import pack
 from cohorta.llm.token_files import round_trip
 from cohorta.llm.toxicity import toxicity
@@ -17,10 +19,18 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(load(spark, folder, "documents"))
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_components(load(spark, folder, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(load(spark, folder, "documents"))
 
 
+def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(load(spark, folder, "documents"), load(spark, folder, "labels"))
 
@@ -30,7 +40,9 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_exact_dedup, op5_best_fit_packing, op9_toxicity, op10_token_files)}
+    f.__name__: f for f in (
+        op3_exact_dedup, op4_ngram_jaccard_join, op5_best_fit_packing, op7_benchmark_decontamination, op9_toxicity,
+        op10_token_files)}
 
 ORACLES = {
     "op3_exact_dedup": """
