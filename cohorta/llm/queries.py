@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohorta.llm.decontaminate import leaks
 from cohorta.llm.exact_dedup import exact_dedup
+from cohorta.llm.html_text import extract
 from cohorta.llm.jaccard_join import jaccard_components
 from cohorta.llm.packing import pack
 from cohorta.llm.token_files import round_trip
@@ -15,6 +16,10 @@ from cohorta.llm.toxicity import toxicity
 from cohorta.sources.tables import load
 
 
+def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extract(load(spark, folder, "pages"))
+
+
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(load(spark, folder, "documents"))
 
@@ -41,8 +46,8 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op3_exact_dedup, op4_ngram_jaccard_join, op5_best_fit_packing, op7_benchmark_decontamination, op9_toxicity,
-        op10_token_files)}
+        op1_html_extraction, op3_exact_dedup, op4_ngram_jaccard_join, op5_best_fit_packing,
+        op7_benchmark_decontamination, op9_toxicity, op10_token_files)}
 
 ORACLES = {
     "op3_exact_dedup": """
