@@ -11,6 +11,7 @@ from cohorta.llm.exact_dedup import exact_dedup
 from cohorta.llm.html_text import extract
 from cohorta.llm.jaccard_join import jaccard_components
 from cohorta.llm.packing import pack
+from cohorta.llm.repeats import remove_repeats
 from cohorta.llm.token_files import round_trip
 from cohorta.llm.toxicity import toxicity
 from cohorta.sources.tables import load
@@ -32,6 +33,10 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(load(spark, folder, "documents"))
 
 
+def op6_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(load(spark, folder, "documents"))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return leaks(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
 
@@ -47,7 +52,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_html_extraction, op3_exact_dedup, op4_ngram_jaccard_join, op5_best_fit_packing,
-        op7_benchmark_decontamination, op9_toxicity, op10_token_files)}
+        op6_suffix_array_dedup, op7_benchmark_decontamination, op9_toxicity, op10_token_files)}
 
 ORACLES = {
     "op3_exact_dedup": """
