@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohorta.llm.decontaminate import leaks
 from cohorta.llm.exact_dedup import exact_dedup
 from cohorta.llm.html_text import extract
 from cohorta.llm.jaccard_join import jaccard_components
+from cohorta.llm.lm_scores import lm_scores
 from cohorta.llm.packing import pack
 from cohorta.llm.repeats import remove_repeats
 from cohorta.llm.token_files import round_trip
@@ -41,6 +43,10 @@ def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return leaks(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
 
 
+def op8_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scores(load(spark, folder, "documents")).withColumn("log_score", F.round("log_score", 3))
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(load(spark, folder, "documents"), load(spark, folder, "labels"))
 
@@ -52,7 +58,8 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_html_extraction, op3_exact_dedup, op4_ngram_jaccard_join, op5_best_fit_packing,
-        op6_suffix_array_dedup, op7_benchmark_decontamination, op9_toxicity, op10_token_files)}
+        op6_suffix_array_dedup, op7_benchmark_decontamination, op8_lm_scores,
+        op9_toxicity, op10_token_files)}
 
 ORACLES = {
     "op3_exact_dedup": """
@@ -66,4 +73,27 @@ ORACLES = {
                    count(*) OVER (PARTITION BY text_sha256) AS group_size
             FROM d)
         SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256 FROM g""",
+    "op8_lm_scores": """
+        WITH t AS (
+            SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\\x20\\x09-\\x0D]+') AS l
+            FROM documents),
+        w AS (SELECT r, unnest(l) AS word, generate_subscripts(l, 1) AS i FROM t),
+        p AS (SELECT r, i, word, lag(word) OVER (PARTITION BY r ORDER BY i) AS prev FROM w),
+        c AS (
+            SELECT r, i, prev, count(*) OVER (PARTITION BY word) - count(*) OVER (PARTITION BY r, word) AS u,
+                   count(*) OVER (PARTITION BY prev, word) - count(*) OVER (PARTITION BY r, prev, word) AS b,
+                   count(*) OVER () - count(*) OVER (PARTITION BY r) AS n
+            FROM p),
+        s AS (
+            SELECT r, prev IS NOT NULL AND b > 0 AS hit,
+                   CASE WHEN prev IS NOT NULL AND b > 0 THEN b / lag(u) OVER (PARTITION BY r ORDER BY i)
+                        WHEN u > 0 THEN CASE WHEN prev IS NULL THEN 1.0 ELSE 0.4 END::DOUBLE * u / n
+                        ELSE 0.4::DOUBLE * 0.4::DOUBLE / (n + 1) END AS v
+            FROM c),
+        a AS (SELECT r, count(*) AS n, sum(hit::BIGINT)::BIGINT AS hits, sum(ln(v)) AS x FROM s GROUP BY r)
+        SELECT doc_id, coalesce(n, 0) AS n_words, coalesce(hits, 0) AS n_pairs, coalesce(n - hits, 0) AS n_backed_off,
+               round(coalesce(x, 0.0), 3) AS log_score
+        FROM t LEFT JOIN a USING (r)""",
 }
