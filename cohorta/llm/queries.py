@@ -11,6 +11,7 @@ from cohorta.llm.decontaminate import leaks
 from cohorta.llm.exact_dedup import exact_dedup
 from cohorta.llm.html_text import extract
 from cohorta.llm.jaccard_join import jaccard_components
+from cohorta.llm.licenses import scan
 from cohorta.llm.lm_scores import lm_scores
 from cohorta.llm.packing import pack
 from cohorta.llm.repeats import remove_repeats
@@ -23,6 +24,10 @@ def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return extract(load(spark, folder, "pages"))
 
 
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan(load(spark, folder, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(load(spark, folder, "documents"))
 
@@ -57,7 +62,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_html_extraction, op3_exact_dedup, op4_ngram_jaccard_join, op5_best_fit_packing,
+        op1_html_extraction, op2_license_scan, op3_exact_dedup, op4_ngram_jaccard_join, op5_best_fit_packing,
         op6_suffix_array_dedup, op7_benchmark_decontamination, op8_lm_scores,
         op9_toxicity, op10_token_files)}
 
