@@ -36,16 +36,24 @@ def half_even_2(c) -> Column:
 def fixed(c: str, digits: int) -> Column:
     """Text with a fixed number of decimals, rounded on the exact binary value, half to even.
 
-    The built-in formatter rounds the shortest decimal form half up, which moves ties such as 71.55. The
-    fraction is therefore scaled to an integer of as many bits as a long allows, where comparing with one half is
-    exact.
+    The built-in formatter rounds the shortest decimal form half up, which moves ties such as 71.55. The fraction is
+    therefore cut into two whole numbers of as many bits as a long allows times the power of ten, and a flag for what
+    lies below; scaling by powers of two and taking whole parts away are exact.
     """
     ten = 10 ** digits
     bits = 63 - ten.bit_length()
-    whole, part = f"CAST(floor(abs({c})) AS bigint)", f"CAST((abs({c}) - floor(abs({c}))) * {1 << bits}D AS bigint) * {ten}L"
-    low, rest = f"shiftright({part}, {bits})", f"(({part}) & {(1 << bits) - 1}L)"
-    up = f"CASE WHEN {rest} > {1 << (bits - 1)}L OR ({rest} = {1 << (bits - 1)}L AND ({low}) % 2 = 1) THEN 1L ELSE 0L END"
-    scaled = f"({whole} * {ten}L + {low} + {up})"
+    unit, mask, half = 1 << bits, (1 << bits) - 1, 1 << (bits - 1)
+    part = f"(abs({c}) - floor(abs({c})))"
+    high = f"CAST({part} * {unit}D AS bigint)"
+    rest = f"({part} * {unit}D - CAST({high} AS double))"
+    low = f"CAST({rest} * {unit}D AS bigint)"
+    below = f"({rest} * {unit}D > CAST({low} AS double))"
+    total = f"({high} * {ten}L + shiftright({low} * {ten}L, {bits}))"
+    left, last = f"({total} & {mask}L)", f"(({low} * {ten}L) & {mask}L)"
+    digit = f"shiftright({total}, {bits})"
+    up = (f"CASE WHEN {left} > {half}L OR ({left} = {half}L AND ({last} > 0L OR {below} OR {digit} % 2 = 1)) "
+          "THEN 1L ELSE 0L END")
+    scaled = f"(CAST(floor(abs({c})) AS bigint) * {ten}L + {digit} + {up})"
     return F.expr(
         f"concat(CASE WHEN {c} < 0 THEN '-' ELSE '' END, CAST({scaled} DIV {ten}L AS string), '.', "
         f"lpad(CAST({scaled} % {ten}L AS string), {digits}, '0'))")

@@ -9,8 +9,14 @@ from pyspark.sql import functions as F
 
 from cohorta.session import cut, parallelism, stage
 
-#: Rows a plain ordered limit may bring to its single merging task (partitions times limit).
-MERGE_ROWS = 2_000_000
+#: Rows of a table that may be broadcast once they have been counted.
+SMALL_ROWS = 100_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """The same table, sent to all executors if a count finds it small; a join then moves none of its other side."""
+    df = stage(df, "small")
+    return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
 
 
 def dense_index(keys: DataFrame, key: str, name: str) -> DataFrame:
@@ -30,17 +36,7 @@ def dense_index(keys: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def first_rows(df: DataFrame, key: str, n: int) -> DataFrame:
-    """The n rows with the smallest keys. Wide inputs are cut at an approximate quantile first, then exactly."""
-    if df.rdd.getNumPartitions() * n > MERGE_ROWS:
-        rows = df.count()
-        share = 1.2 * n / rows if rows else 1.0
-        while share < 1.0:
-            edge = df.agg(F.percentile_approx(key, share, 10_000)).first()[0]
-            short = df.filter(F.col(key) <= edge)
-            if short.count() >= n:
-                df = short
-                break
-            share *= 4
+    """The n rows with the smallest keys: each partition keeps its own first n, and these are merged."""
     return df.orderBy(key).limit(n)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
@@ -10,8 +12,8 @@ from pyspark.sql import functions as F
 
 from cohorta.functions.exprs import sq_dist_to
 
-#: Most centres that are carried as literals in an expression.
-MAX_CENTRES = 512
+#: Up to so many centres are literals of an expression; more go to a numpy kernel. The rows are the same.
+LITERAL_CENTRES = 64
 
 
 def kmeans_fit(df: DataFrame, features, k: int = 5, seed: int = 42):
@@ -36,8 +38,19 @@ def first_centres(df: DataFrame, id_col: str, features, k: int) -> list[list[flo
 
 
 def _nearest(features, centres) -> Column:
-    if len(centres) > MAX_CENTRES:
-        raise ValueError(f"more than {MAX_CENTRES} centres")
+    if len(centres) > LITERAL_CENTRES:
+        points = np.array(centres, dtype=float)
+
+        @F.pandas_udf("struct<d2 double, cluster int>")
+        def nearest(*cols: pd.Series) -> pd.DataFrame:
+            x, out = np.column_stack(cols).astype(float), []
+            for i in range(0, len(x), 1024):
+                # The same sum in the same order as the expression, so that ties fall alike.
+                d2 = sum((x[i:i + 1024, j, None] - points[None, :, j]) ** 2 for j in range(x.shape[1]))
+                at = d2.argmin(axis=1)
+                out.append(pd.DataFrame({"d2": d2[np.arange(len(at)), at], "cluster": at.astype("int32")}))
+            return pd.concat(out) if out else pd.DataFrame({"d2": [], "cluster": []})
+        return nearest(*features)
     return F.array_min(F.array(*[
         F.struct(sq_dist_to(features, c).alias("d2"), F.lit(i).alias("cluster")) for i, c in enumerate(centres)]))
 

@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohorta.operators.blocks import BROADCAST_BYTES
-from cohorta.operators.keys import connected_components, dense_index
+from cohorta.operators.keys import connected_components, dense_index, small
 from cohorta.operators.kmeans import kmeans
 from cohorta.operators.neighbors import knn_graph
-from cohorta.operators.sampling import SAMPLE_ABOVE, SAMPLE_MOST, SAMPLE_SHARE, hash_sample, propagate, sample_size
+from cohorta.operators.sampling import hash_sample, propagate
 from cohorta.session import cut
 
 # Neighbours in the graph and neighbours in the label vote.
@@ -172,8 +172,8 @@ def _embed(df: DataFrame, id_col: str, features, k: int, neighbors: int) -> Data
 
 def canonical(labels: DataFrame, id_col: str) -> DataFrame:
     """Renumber clusters 0, 1, ... by their smallest member; noise (-1) stays."""
-    real = labels.filter("cluster <> -1").groupBy(F.col("cluster").alias("raw")).agg(F.min(id_col).alias("low"))
-    names = real.join(dense_index(real, "low", "number"), "low").select("raw", "number")
+    real = cut(labels.filter("cluster <> -1").groupBy(F.col("cluster").alias("raw")).agg(F.min(id_col).alias("low")))
+    names = small(real.join(dense_index(real, "low", "number"), "low").select("raw", "number"))
     return labels.join(names, labels["cluster"] == names["raw"], "left").select(
         id_col, F.coalesce("number", F.lit(-1)).alias("cluster"))
 
@@ -186,8 +186,8 @@ def spectral(df: DataFrame, id_col: str, features, k: int = 5, neighbors: int =
     return canonical(labels, "id").withColumnRenamed("id", id_col)
 
 
-def discretize(emb: DataFrame, k: int, max_rounds: int = 30) -> DataFrame:
-    """(id, cluster): alternate between the nearest axis and the best rotation (Yu & Shi, 2003)."""
+def discretize(emb: DataFrame, k: int, max_rounds: int = 200) -> DataFrame:
+    """(id, cluster): alternate between the nearest axis and the best rotation (Yu & Shi, 2003) until it settles."""
     e = [f"e{j}" for j in range(k)]
     norm = " + ".join(f"{c} * {c}" for c in e)
     unit = cut(emb.selectExpr("id", *[f"coalesce({c} / sqrt({norm}), 0D) AS {c}" for c in e]))
@@ -209,24 +209,30 @@ def discretize(emb: DataFrame, k: int, max_rounds: int = 30) -> DataFrame:
         if last is not None and abs(s.sum() - last) < 1e-12 * max(1.0, last):
             break
         last, rot = s.sum(), vt.T @ u.T
+    else:
+        raise RuntimeError(f"discretisation did not settle in {max_rounds} rounds")
     return labelled.select("id", "cluster")
 
 
-def spectral_discretize(df: DataFrame, id_col: str, features, k: int = 5, neighbors: int = GRAPH_NEIGHBORS,
-                        above: int = SAMPLE_ABOVE, share: float = SAMPLE_SHARE, most: int = SAMPLE_MOST) -> DataFrame:
-    """(id, cluster): fit on all rows, or above the threshold on a sample whose labels then spread by vote."""
-    n = df.count()
-    m = sample_size(n, above, share, most)
-    fit_on = df if m == n else cut(hash_sample(df.select(id_col, *features), id_col, m))
-    labels = discretize(_embed(fit_on, id_col, features, k, neighbors), k).withColumnRenamed("id", id_col)
-    if m < n:
-        labels = propagate(df, cut(labels), id_col, features, VOTE_NEIGHBORS)
-    return canonical(labels, id_col)
+def spectral_discretize(df: DataFrame, id_col: str, features, k: int = 5, neighbors: int = GRAPH_NEIGHBORS) -> DataFrame:
+    """(id, cluster): the embedding of all rows, discretised."""
+    labels = discretize(_embed(df, id_col, features, k, neighbors), k)
+    return canonical(labels.withColumnRenamed("id", id_col), id_col)
+
+
+def spectral_sampled(df: DataFrame, id_col: str, features, sample_rows: int, k: int = 5,
+                     neighbors: int = GRAPH_NEIGHBORS) -> DataFrame:
+    """(id, cluster): a fit on sample_rows hash-chosen rows, whose labels the others get by vote. The caller names the
+    size; a table that is not larger is fitted as a whole."""
+    fit_on = cut(hash_sample(df.select(id_col, *features), id_col, sample_rows))
+    labels = cut(discretize(_embed(fit_on, id_col, features, k, neighbors), k).withColumnRenamed("id", id_col))
+    return canonical(propagate(df, labels, id_col, features, VOTE_NEIGHBORS, sample_bound=sample_rows), id_col)
 
 
 def spectral_pic(df: DataFrame, id_col: str, features, k: int = 5, neighbors: int = GRAPH_NEIGHBORS,
                  iterations: int = 30) -> DataFrame:
     """(id, cluster) by built-in power iteration: faster, approximate."""
-    edges = affinity(knn_graph(df, id_col, features, neighbors), id_col).filter("src <> dst")
+    # The iteration takes each undirected edge once.
+    edges = affinity(knn_graph(df, id_col, features, neighbors), id_col).filter("src < dst")
     pic = PowerIterationClustering(k=k, maxIter=iterations, initMode="degree", weightCol="weight")
     return pic.assignClusters(edges).select(F.col("id").alias(id_col), F.col("cluster").cast("int"))

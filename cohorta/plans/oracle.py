@@ -208,7 +208,7 @@ _names("bp_names", R.BP_LABELS)
 _names("basic_names", R.BASIC_LABELS)
 for _name, _cat in (("advice_rows", R.ADVICE), ("basic_rows", R.BASIC_ADVICE)):
     PARTS[_name] = "SELECT * FROM (VALUES " + ", ".join(
-        f"('{band}', {n}, '{code}', '{text}')" for band, items in _cat.items() for n, code, text in items
+        f"('{band}', {n}, '{code}', '{code}')" for band, items in _cat.items() for n, code in items
     ) + ") t(band, number, code, text)"
 
 
@@ -450,6 +450,19 @@ _add("silhouette_non_noise", "SELECT count(*) AS n, round(avg(s), 6) AS silhouet
 PARTS["anchors"] = "SELECT SEQN FROM complete ORDER BY md5(CAST(SEQN AS varchar)), SEQN LIMIT 300"
 _add("silhouette_sampled", "SELECT (SELECT count(*) FROM complete) AS n_rows, count(*) AS n_anchors, "
                            "round(avg(s), 6) AS estimate FROM si_smoke WHERE id IN (SELECT SEQN FROM anchors)")
+_SQ = " + ".join(f"{z} * {z}" for z in ZS)
+PARTS["sq_line"] = (f"SELECT cluster, count(*) AS size, avg({_SQ}) AS q, "
+                    + ", ".join(f"avg({z}) AS m_{z}" for z in ZS) + " FROM lab GROUP BY cluster")
+PARTS["sq_dist"] = (
+    f"SELECT l.SEQN, l.cluster AS own, c.cluster, c.size, {' + '.join(f'l.{z} * l.{z}' for z in ZS)} "
+    f"- 2 * ({' + '.join(f'l.{z} * c.m_{z}' for z in ZS)}) + c.q AS d FROM lab l CROSS JOIN sq_line c")
+PARTS["sq_ab"] = (
+    "SELECT SEQN, max(CASE WHEN cluster = own THEN d * size / greatest(size - 1, 1) END) AS a, "
+    "max(CASE WHEN cluster = own THEN size END) AS size, min(CASE WHEN cluster <> own THEN d END) AS b "
+    "FROM sq_dist GROUP BY SEQN")
+_add("silhouette_squared",
+     "SELECT count(*) AS n, round(avg(CASE WHEN size = 1 OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) "
+     "AS silhouette FROM sq_ab")
 _add("silhouette_embeddings", "SELECT cluster, count(*) AS n, round(avg(s), 6) AS silhouette FROM si_vec GROUP BY cluster")
 
 # aggregates

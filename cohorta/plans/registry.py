@@ -579,6 +579,13 @@ def silhouette_sampled(spark, sf):
     return _rounded(silhouette.silhouette_sampled(rows, ID, zs(fs), ANCHORS))
 
 
+@query
+def silhouette_squared(spark, sf):
+    """The linear score on squared distances."""
+    rows, fs = _lloyd(spark, sf)
+    return _rounded(silhouette.silhouette_squared(rows, ID, zs(fs)))
+
+
 @query
 def silhouette_embeddings(spark, sf):
     """The same score on 64-dimensional labelled vectors."""

@@ -193,7 +193,8 @@ def test_silhouette_guards(spark, data):
     assert silhouette.silhouette_strict(noisy, "id", FS).first()["silhouette"] is None
     assert silhouette.silhouette_strict(two, "id", FS).first()["silhouette"] is not None
     assert silhouette.silhouette_non_noise(noisy, "id", FS).first()["silhouette"] is None
-    assert silhouette.silhouette_guarded(two, "id", FS, score_rows=10).first()["mode"] == "estimate"
+    assert {m: silhouette.silhouette_by(two, "id", FS, m).first()["mode"] for m in ("exact", "anchors", "squared")} == {
+        m: m for m in ("exact", "anchors", "squared")}
 
 
 def test_lloyd_matches_numpy(spark, data):
@@ -245,7 +246,7 @@ def test_spectral_labels_respect_blobs(spark):
     df, want = frame(spark, x), np.repeat([0, 1, 2], 30)
     assert (labels_of(spectral.spectral(df, "id", FS, 3)) == want).all()
     assert (labels_of(spectral.spectral_discretize(df, "id", FS, 3)) == want).all()
-    assert (labels_of(spectral.spectral_discretize(df, "id", FS, 3, above=60, share=0.6)) == want).all()
+    assert (labels_of(spectral.spectral_sampled(df, "id", FS, 54, 3)) == want).all()
 
 
 def test_degenerate_inputs(spark):

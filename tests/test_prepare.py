@@ -47,13 +47,13 @@ def test_components_match_numpy(spark, sf):
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.floats(0, 1e6, allow_nan=False), min_size=30, max_size=30))
 def test_fixed_text_is_exact(spark, values):
-    values = values + [71.55, 0.05, 0.25, 0.35, 2.5, 99.95, 1.005, 0.0, -3.25]
+    values = [v for x in values for v in (x, x / 2.5e5, x / 1e12)]
+    values += [71.55, 0.05, 0.25, 0.35, 2.5, 99.95, 1.005, 0.0, -3.25, 0.005, 0.025, 0.055, 0.125, 5e-324, 1e-30]
     df = spark.createDataFrame([(v,) for v in values], "v double")
     for digits in (1, 2):
         got = df.select("v", fixed("v", digits).alias("t")).collect()
         for r in got:
-            if abs(r["v"]) >= 4 or r["v"] in values[30:]:
-                assert r["t"] == f"{r['v']:.{digits}f}"
+            assert r["t"] == f"{r['v']:.{digits}f}"
 
 
 def test_half_even(spark):
