@@ -103,7 +103,9 @@ class Index:
         slot = self.hashed.slots(keys)
         ok = slot >= 0
         ok[ok] = self.prints[slot[ok]] == fingerprints(keys[ok])
-        return np.where(ok, self.place[np.maximum(slot, 0)] if len(self.place) else -1, -1).astype(np.int64)
+        out = np.full(len(keys), -1, np.int64)
+        out[ok] = self.place[slot[ok]]
+        return out
 
 
 def _put(store: fs.FileSystem, path: str, data: bytes) -> None:
