@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohorta.llm.common import texts, without
-from cohorta.llm.hashing import LOWER, NOT_WHITE, flat_bytes, hash_runs, hash_words, mix, word_spans
+from cohorta.llm.hashing import HASH_BYTES, LOWER, NOT_WHITE, flat_bytes, hash_runs, hash_words, mix, word_spans
 from cohorta.llm.shared import shared_keys
 from cohorta.llm.tokens import slices
 from cohorta.operators.keys import connected_components
@@ -29,8 +29,8 @@ WORDS = 5
 LARGEST_SMALL = 16
 #: Cost of a posting (sort, scan, verification) in subsets.
 POSTING_COST = 4
-#: Scans with one leader per list before the rest is compared in full.
-ROUNDS = 6
+#: Bounds per posting that the last comparison may look at, and the most rounds that make them fewer before it.
+BOUNDS, ROUNDS = 50, 4
 
 
 def shared_size(n: int, m: int) -> int:
@@ -64,7 +64,7 @@ def boundary(sizes: dict[int, int]) -> int:
 
 def shingles(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
     """(row, sorted distinct hashes of the shingles) of each text that has a word."""
-    for i, j in slices(column):
+    for i, j in slices(column, HASH_BYTES):
         flat, offsets = flat_bytes(column.slice(i, j - i))
         flat = LOWER[flat]
         begin, end, first = word_spans(flat, offsets, NOT_WHITE)
@@ -110,12 +110,13 @@ def _margin(n):
     return n // 25
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those (a, b) of pairs whose sets link, and how both compare."""
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """pairs (a, b) with `both`, how many shingles they share, and whether they link."""
     a, b = (sets.select(F.col("sid").alias(c), F.col("keys").alias(f"keys_{c}")) for c in "ab")
-    joined = pairs.join(a, "a").join(b, "b")
+    joined = pairs.join(a, "a").withColumn("n_a", F.size("keys_a")).join(b, "b")
     both = F.size(F.array_intersect("keys_a", "keys_b"))
-    return joined.filter(7 * both >= 3 * (F.size("keys_a") + F.size("keys_b"))).select("a", "b")
+    return stage(joined.select("a", "b", both.alias("both"), (7 * both >= 3 * (F.col("n_a") + F.size("keys_b"))).alias("link")),
+                 "compared")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -126,9 +127,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
        have. Linked sets share a known share of their prefixes; sets below it are done. Those left ask about all their
        shingles, and are done unless three quarters of them are shared.
     3. Small sets left over: an equal subset of sets of the two sizes is a link.
-    4. Large sets left over are posted under their rarest shingles. In each round every list compares its sets with
-       one of them, the most central first; components grow, and lists that lie in one component are done. Pairs in
-       different components that still share a list are compared at the end, all of them: no link is lost.
+    4. Large sets left over are posted under their rarest shingles. Every list compares its sets with one of them, the
+       most central; components grow, and lists that lie in one component are done. Pairs in different components that
+       still share a list are compared at the end, unless what is known already rules a link out: no link is lost.
 
     Null text and text without words have no shingles and link with nothing. A row without id takes its component from
     equal sets, null if they have no id either. Rows that repeat an id count as one document. Empty tables give no
@@ -154,7 +155,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             keys = keys_by_size(hashes, small, _margin(len(hashes)))
             yield np.full(len(keys), identity(hashes), np.int64), keys
 
-    first = shared_keys(rows, ask, int(total * 0.3), count=True).groupBy("owner").agg(F.sum("n").alias("hits"))
+    first = shared_keys(rows, ask, int(total * 0.3), count=True).withColumnRenamed("n", "hits")
     # A partner has at least 3/4 of the size, so at least its margin is shared; the prefixes share one key in any case.
     owners = known.filter("n > 0").groupBy("sid", "n").agg(F.min("doc_id").alias("doc_id"))
     likely = first.join(owners, first["owner"] == owners["sid"]).filter(
@@ -179,7 +180,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         yield np.repeat(np.asarray(batch.column(0), np.int64), np.asarray(lists.value_lengths(), np.int64)), keys
 
     n_left = sets.agg(F.coalesce(F.sum(F.size("keys")), F.lit(0))).first()[0]
-    second = shared_keys(sets, ask_all, n_left, count=True).groupBy("owner").agg(F.sum("n").alias("hits"))
+    second = shared_keys(sets, ask_all, n_left, count=True).withColumnRenamed("n", "hits")
     sets = stage(sets.join(second, sets["sid"] == second["owner"]).filter(
         4 * F.col("hits") >= 3 * F.size("keys")).select("sid", "keys"), "near-sets")
     links = [_small_links(sets, small)] if small else []
@@ -222,19 +223,24 @@ def _small_links(sets: DataFrame, small: int) -> DataFrame:
 
 
 def _large_components(sets: DataFrame, small: int, links: list[DataFrame]) -> DataFrame:
-    """(sid, comp) from the given links and those among large sets (and small ones next to them)."""
+    """(sid, comp) from the given links and those among large sets (and small ones next to them).
+
+    Each list compares its sets with one head. What two sets of a list share is at most the smaller of what they share
+    with the head, plus the smaller of what they have beyond the head and not alone; only pairs in different components
+    that can link by this bound are compared. Where lists are so long that even the bounds would be too many, more
+    rounds with other heads let the components grow first.
+    """
     vertices = sets.select(F.col("sid").alias("v"))
     large = sets.filter(F.floor(4 * F.size("keys") / 3) > small)
     spread = large.select("sid", F.size("keys").alias("n"), F.explode("keys").alias("key"))
     often = spread.groupBy("key").agg(F.count(F.lit(1)).alias("df"))
-    rarest = Window.partitionBy("sid").orderBy("df", "key")
+    own = Window.partitionBy("sid")
     ranked = spread.join(often, "key").select(
-        "sid", "n", "key", "df", F.row_number().over(rarest).alias("at"),
-        F.avg("df").over(Window.partitionBy("sid")).alias("central"))
-    posted = stage(ranked.filter("at <= floor(n / 4) + 1 AND df > 1").select("key", "sid", "n", "central"), "postings")
-    n_posted = posted.count()
-    found = [stage(e, "links") for e in links]
-    seen = None
+        "sid", "n", "key", "df", F.row_number().over(own.orderBy("df", "key")).alias("at"),
+        F.avg("df").over(own).alias("central"), F.count(F.when(F.col("df") > 1, 1)).over(own).alias("common"))
+    posted = stage(ranked.filter("at <= floor(n / 4) + 1 AND df > 1").select("key", "sid", "n", "central", "common"),
+                   "postings")
+    n_posted, found, seen = posted.count(), [stage(e, "links") for e in links], None
 
     def components() -> DataFrame:
         if not found:
@@ -245,39 +251,45 @@ def _large_components(sets: DataFrame, small: int, links: list[DataFrame]) -> Da
         return stage(connected_components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")), vertices).select(
             F.col("v").alias("sid"), "comp"), "components")
 
-    def live(labels: DataFrame) -> DataFrame:
-        """Postings of the lists that still hold sets of several components."""
-        own = posted.join(labels, "sid")
-        spans = own.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1")
-        return stage(own.join(spans.select("key"), "key", "left_semi"), "live")
-
-    labels = components()
-    for turn in range(ROUNDS):
-        lists = live(labels)
-        parts = lists.groupBy("key", "comp").agg(F.count(F.lit(1)).cast("double").alias("c")).groupBy("key").agg(
-            (F.pow(F.sum("c"), 2) - F.sum(F.pow("c", 2))).alias("pairs"))
-        if (parts.agg(F.sum("pairs")).first()[0] or 0) <= 2 * n_posted:
-            break
-        order = F.struct("central", "sid") if not turn else F.struct(F.xxhash64("sid", F.lit(turn)), "sid")
-        heads = lists.groupBy("key").agg(F.max(F.struct(order.alias("o"), "sid", "n", "comp")).alias("h")).select(
-            "key", F.col("h.sid").alias("head"), F.col("h.n").alias("head_n"), F.col("h.comp").alias("head_comp"))
-        pairs = lists.join(heads, "key").filter("comp <> head_comp").filter(
-            "4 * least(n, head_n) >= 3 * greatest(n, head_n)").select(
-            F.least("sid", "head").alias("a"), F.greatest("sid", "head").alias("b")).distinct()
+    def live(lists: DataFrame) -> DataFrame:
+        """Postings of the lists that hold sets of several components."""
+        now = lists.drop("comp").join(components(), "sid")
+        spans = now.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1")
+        return stage(now.join(spans.select("key"), "key", "left_semi"), "live")
+
+    def heads(lists: DataFrame, order) -> DataFrame:
+        return lists.groupBy("key").agg(F.max(F.struct(order.alias("o"), "sid")).alias("h")).select(
+            "key", F.col("h.sid").alias("head"))
+
+    def compare(pairs: DataFrame) -> DataFrame:
+        nonlocal seen
+        pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         if seen is not None:
             pairs = pairs.join(seen, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        seen = pairs if seen is None else seen.unionByName(pairs)
-        found.append(stage(verified(pairs, sets), "links"))
-        labels = components()
-    lists = live(labels)
-    x, y = (lists.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("sid", "n", "comp")]) for s in "xy")
-    pairs = x.join(y, "key").filter("sid_x < sid_y AND comp_x <> comp_y").filter(
-        "4 * least(n_x, n_y) >= 3 * greatest(n_x, n_y)").select(
-        F.col("sid_x").alias("a"), F.col("sid_y").alias("b")).distinct()
-    if seen is not None:
-        pairs = pairs.join(seen, ["a", "b"], "left_anti")
-    found.append(stage(verified(pairs, sets), "links"))
+        facts = compared(pairs, sets)
+        seen = facts.select("a", "b") if seen is None else seen.unionByName(facts.select("a", "b"))
+        found.append(facts.filter("link").select("a", "b"))
+        return facts
+
+    led = posted.join(heads(posted, F.struct("central", "sid")), "key")
+    facts = compare(led.filter("sid <> head").select(F.col("sid").alias("x"), F.col("head").alias("y")))
+    known = facts.select("a", "b", "both").unionByName(facts.select(F.col("b").alias("a"), F.col("a").alias("b"), "both"))
+    led = led.join(known, (F.col("sid") == F.col("a")) & (F.col("head") == F.col("b")), "left").select(
+        "key", "sid", "n", "common", F.coalesce("both", "common").alias("both"))
+    lists = live(led)
+    for turn in range(1, ROUNDS):
+        parts = lists.groupBy("key", "comp").agg(F.count(F.lit(1)).cast("double").alias("c")).groupBy(
+            "key").agg((F.pow(F.sum("c"), 2) - F.sum(F.pow("c", 2))).alias("pairs"))
+        if (parts.agg(F.sum("pairs")).first()[0] or 0) <= BOUNDS * n_posted:
+            break
+        led = lists.join(heads(lists, F.struct(F.xxhash64("sid", F.lit(turn)), "sid")), "key")
+        compare(led.filter("sid <> head").select(F.col("sid").alias("x"), F.col("head").alias("y")))
+        lists = live(lists)
+    x, y = (lists.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("sid", "n", "comp", "both", "common")])
+            for s in "xy")
+    compare(x.join(y, "key").filter("sid_x < sid_y AND comp_x <> comp_y").filter(
+        "7 * (least(both_x, both_y) + least(common_x - both_x, common_y - both_y)) >= 3 * (n_x + n_y)").select(
+        F.col("sid_x").alias("x"), F.col("sid_y").alias("y")))
     return components()
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from cohorta.session import stage
 
 #: Keys a task gathers before it sends them on, and keys a bucket is meant to receive.
-FLUSH_KEYS, BUCKET_KEYS = 1 << 20, 1 << 21
+FLUSH_KEYS, BUCKET_KEYS = 1 << 19, 1 << 20
 #: Owners need no answer where the task already knows it.
 ANSWERED = np.iinfo(np.int64).min
 
@@ -31,8 +31,8 @@ def shared_keys(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Keys], n_keys
     them and sends one packed row per bucket of the key space. A key that several owners of one flush have is known to
     be shared: its owners are answered on the spot, spread over all buckets, and only the key itself goes to its
     bucket. So a key that a third of all records have reaches its bucket once per flush, not once per record.
-    An owner can come out in several rows, once per bucket; a count may hold a key more than once only if the owner
-    itself occurs in several flushes.
+    Answers come back packed by parts of the owners, so each owner is one row. A count, or the list of keys, holds a key
+    more than once only if the owner itself occurs more than once.
     """
     buckets = int(n_keys // BUCKET_KEYS) + 1
 
@@ -73,13 +73,28 @@ def shared_keys(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Keys], n_keys
         if size:
             yield from flush()
 
+    def packed(keys: np.ndarray, owners: np.ndarray) -> pa.Table:
+        """The answers in one row per part of the owners; a count needs no keys."""
+        part = owners.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)
+        part = (part * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+        order = np.lexsort((owners, part))
+        keys, owners, part = keys[order], owners[order], part[order]
+        if count and len(owners):
+            start = np.flatnonzero(np.concatenate(([True], owners[1:] != owners[:-1])))
+            keys = np.diff(np.append(start, len(owners))).astype(np.uint64)
+            owners, part = owners[start], part[start]
+        edges = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True]))) if len(part) else np.zeros(1, int)
+        spans = list(zip(edges[:-1].tolist(), edges[1:].tolist()))
+        return pa.table({"part": pa.array(part[edges[:-1]] if len(part) else [], pa.int32()),
+                         "owners": pa.array([owners[i:j].tobytes() for i, j in spans], pa.binary()),
+                         "values": pa.array([keys[i:j].tobytes() for i, j in spans], pa.binary())})
+
     def answer(table: pa.Table) -> pa.Table:
         rows = table.to_pydict()
-        found: list[tuple[np.ndarray, np.ndarray]] = []
         asked = [(np.frombuffer(k, np.uint64), np.frombuffer(o, np.int64))
                  for k, o, known in zip(rows["keys"], rows["owners"], rows["known"]) if not known]
-        found += [(np.frombuffer(k, np.uint64), np.frombuffer(o, np.int64))
-                  for k, o, known in zip(rows["keys"], rows["owners"], rows["known"]) if known]
+        found = [(np.frombuffer(k, np.uint64), np.frombuffer(o, np.int64))
+                 for k, o, known in zip(rows["keys"], rows["owners"], rows["known"]) if known]
         if asked:
             keys, owners = (np.concatenate(x) for x in zip(*asked))
             order = np.argsort(keys, kind="stable")
@@ -90,16 +105,20 @@ def shared_keys(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Keys], n_keys
             ok = np.repeat((low != high) | (low == ANSWERED), np.diff(np.append(start, len(keys))))
             ok &= owners != ANSWERED
             found.append((keys[ok], owners[ok]))
-        keys, owners = (np.concatenate(x) for x in zip(*found))
+        return packed(*(np.concatenate(x) for x in zip(*found)))
+
+    def gather(table: pa.Table) -> pa.Table:
+        owners = np.concatenate([np.frombuffer(o, np.int64) for o in table.column("owners").to_pylist()])
+        values = np.concatenate([np.frombuffer(v, np.uint64) for v in table.column("values").to_pylist()])
         order = np.argsort(owners, kind="stable")
-        keys, owners = keys[order], owners[order]
-        start = np.flatnonzero(np.concatenate(([True], owners[1:] != owners[:-1]))) if len(owners) else np.zeros(0, int)
-        ends = np.append(start[1:], len(owners)) if len(owners) else start
+        owners, values = owners[order], values[order]
+        start = np.flatnonzero(np.concatenate(([True], owners[1:] != owners[:-1])))
         if count:
-            return pa.table({"owner": owners[start], "n": (ends - start).astype(np.int64)})
-        raw = keys.tobytes()
+            return pa.table({"owner": owners[start], "n": np.add.reduceat(values, start).astype(np.int64)})
+        raw, ends = values.tobytes(), np.append(start[1:], len(owners))
         return pa.table({"owner": owners[start], "keys": pa.array(
-            [raw[8 * a:8 * b] for a, b in zip(start.tolist(), ends.tolist())], pa.binary())})
+            [raw[8 * i:8 * j] for i, j in zip(start.tolist(), ends.tolist())], pa.binary())})
 
-    return stage(df.mapInArrow(ask, ASKS).groupBy("bucket").applyInArrow(
-        answer, "owner long, n long" if count else "owner long, keys binary"), "shared")
+    answers = df.mapInArrow(ask, ASKS).groupBy("bucket").applyInArrow(answer, "part int, owners binary, values binary")
+    return stage(answers.groupBy("part").applyInArrow(
+        gather, "owner long, n long" if count else "owner long, keys binary"), "shared")
