@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohorta.llm.common import texts, without
-from cohorta.llm.hashing import LETTERS, LOWER, flat_bytes, hash_runs, hash_words, word_spans
+from cohorta.llm.hashing import HASH_BYTES, LETTERS, LOWER, flat_bytes, hash_runs, hash_words, word_spans
 from cohorta.llm.tokens import slices
 
 #: Words per seed; of SPAN neighbouring seeds the rarest is used.
@@ -120,7 +120,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, share: float = SHARE, long_r
         def count(batches: Iterator[pa.RecordBatch], grams=grams, sizes=sizes) -> Iterator[pa.RecordBatch]:
             n = np.zeros(len(grams.hashes), np.int64)
             for batch in batches:
-                for i, j in slices(batch.column(1)):
+                for i, j in slices(batch.column(1), HASH_BYTES):
                     words, first = words_of(batch.column(1).slice(i, j - i))
                     for size in sizes:
                         place, hashes = runs_within(words, first, size)
@@ -144,7 +144,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, share: float = SHARE, long_r
                    ) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 keys, found = batch.column(0).to_pylist(), []
-                for i, j in slices(batch.column(1)):
+                for i, j in slices(batch.column(1), HASH_BYTES):
                     words, first = words_of(batch.column(1).slice(i, j - i))
                     near: dict[tuple[int, int], list[tuple[int, int]]] = {}
                     for size in sizes:

@@ -12,6 +12,9 @@ from cohorta.llm.common import WHITE
 _RATE = 0x9E3779B97F4A7C15  # odd, so that its powers have inverses modulo 2^64
 _LETTERS = np.random.default_rng(20240229).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 
+#: Text hashed at once: the tables of powers and the running sums take some forty bytes per byte of it.
+HASH_BYTES = 1 << 20
+
 #: Bytes with A-Z made small; other bytes are kept.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32

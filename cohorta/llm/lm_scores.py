@@ -14,13 +14,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohorta.llm.common import parts_for, texts
-from cohorta.llm.hashing import LOWER, NOT_WHITE, flat_bytes, hash_runs, hash_words, word_spans
+from cohorta.llm.hashing import HASH_BYTES, LOWER, NOT_WHITE, flat_bytes, hash_runs, hash_words, word_spans
+from cohorta.llm.tokens import slices
 from cohorta.session import stage
 
 #: Fixed value: the weight of each step back (Brants et al., 2007).
 ALPHA = 0.4
 #: Text per group of documents, and text whose n-grams one partition of the count table holds.
-GROUP_BYTES, PARTITION_BYTES = 8 << 20, 32 << 20
+GROUP_BYTES, PARTITION_BYTES = 4 << 20, 16 << 20
 
 SCORES = "doc_id long, n_words long, n_pairs long, n_backed_off long, log_score double"
 
@@ -29,10 +30,14 @@ def _grams(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     """(hash of each word, hash of each word and the one before it, first word of each text): a text's first word has
     no pair, and 0 in its place."""
     column = column.combine_chunks()
-    flat, offsets = flat_bytes(column)
-    flat = LOWER[flat]
-    begin, end, first = word_spans(flat, offsets, NOT_WHITE)
-    words = hash_words(flat, begin, end)
+    hashes, counts = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    for i, j in slices(column, HASH_BYTES):
+        flat, offsets = flat_bytes(column.slice(i, j - i))
+        flat = LOWER[flat]
+        begin, end, first = word_spans(flat, offsets, NOT_WHITE)
+        hashes.append(hash_words(flat, begin, end))
+        counts.append(np.diff(first))
+    words, first = np.concatenate(hashes), np.cumsum(np.concatenate(counts))
     pairs = np.concatenate((np.zeros(min(len(words), 1), np.uint64), hash_runs(words, 2)))
     pairs[first[:-1][np.diff(first) > 0]] = 0
     return words, pairs, first
