@@ -284,6 +284,7 @@ def _r6(e, name):
 # sources and sinks
 _add("scan_csv_full", f"SELECT {_WIDE} FROM survey")
 _add("scan_first_n", f"SELECT {_WIDE} FROM survey ORDER BY SEQN LIMIT 5000")
+_add("scan_first_hundred", f"SELECT {_WIDE} FROM survey ORDER BY SEQN LIMIT 100")
 _add("preview_head", f"SELECT {_WIDE} FROM survey ORDER BY SEQN LIMIT 5")
 _GAPS = " + ".join(f"count(*) - count({f})" for f in FS)
 _add("scan_directory_profile",
@@ -291,7 +292,7 @@ _add("scan_directory_profile",
      "missing_total, 'ok' AS status FROM survey "
      "UNION ALL SELECT 'supplier.csv', count(*), 4, 0, 'ok' FROM supplier "
      "UNION ALL SELECT 'part.csv', count(*), 6, 0, 'ok' FROM part "
-     "UNION ALL SELECT 'empty.csv', NULL, NULL, NULL, 'unreadable'")
+     "UNION ALL SELECT 'empty.csv', NULL, NULL, NULL, 'unreadable: no columns'")
 _add("scan_directory_columns", " UNION ALL ".join(
     f"SELECT '{t}.csv' AS file, '{c}' AS \"column\", '{k}' AS dtype, CAST(count(*) - count({c}) AS bigint) AS missing, "
     f"count(*) AS n_rows FROM {t}"
@@ -303,6 +304,8 @@ _add("scan_directory_columns", " UNION ALL ".join(
     for c, k in cols))
 _add("sink_labelled_roundtrip",
      f"SELECT 'kmeans' AS algorithm, {_WIDE}, cluster FROM lab UNION ALL SELECT 'dbscan', {_WIDE}, cluster FROM den_b")
+_add("sink_labelled_csv_roundtrip",
+     f"SELECT 'kmeans' AS algorithm, {_WIDE}, cluster FROM lab UNION ALL SELECT 'dbscan', {_WIDE}, cluster FROM den_b")
 _HALF = "round_even(round({}, 9), 2)"
 _add("sink_stats_roundtrip", "SELECT cluster, " + ", ".join(
     f"{_HALF.format(f'avg({f})')} AS {f}_mean, {_HALF.format(f'stddev_samp({f})')} AS {f}_std" for f in FS)
@@ -356,8 +359,8 @@ _add("pca_explained", " UNION ALL ".join(
     "(SELECT count(*) FROM complete) AS n" for n in (1, 2)))
 
 # K-means
-_add("kmeans_invariants", f"SELECT count(*) AS n, CAST({K} AS bigint) AS n_clusters, CAST(0 AS bigint) AS n_misplaced "
-                          "FROM complete")
+_add("kmeans_invariants", f"SELECT count(*) AS n, CAST({K} AS bigint) AS n_clusters, CAST(0 AS bigint) AS n_misplaced, "
+                          "true AS at_rest, true AS no_worse_than_fixed_starts FROM complete")
 _add("kmeans_assign", "SELECT SEQN, cluster, round(d2, 6) AS d2 FROM asg0")
 _add("kmeans_lloyd_n", "SELECT SEQN, cluster FROM asg3")
 _add("kmeans_inertia", "SELECT cluster, count(*) AS n, round(sum(d2), 6) AS inertia FROM asg2 GROUP BY cluster")

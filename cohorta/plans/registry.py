@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -111,6 +112,12 @@ def scan_first_n(spark, sf):
     return first_rows(survey(spark, sf), ID, 5000)
 
 
+@query
+def scan_first_hundred(spark, sf):
+    """A limit smaller than the table."""
+    return first_rows(survey(spark, sf), ID, 100)
+
+
 def _folder(spark, sf):
     root = scratch_path(spark, "folder")
     files.write_csv(survey(spark, sf), f"{root}/survey.csv")
@@ -136,18 +143,30 @@ def preview_head(spark, sf):
     return first_rows(survey(spark, sf), ID, 5)
 
 
-@query
-def sink_labelled_roundtrip(spark, sf):
+def _labelled(spark, sf):
     tables, fs = _tables(spark, sf)
     every = None
     for name in ("kmeans", "dbscan"):
         part = tables[name].select(F.lit(name).alias("algorithm"), ID, *fs, "cluster")
         every = part if every is None else every.unionByName(part)
-    path = scratch_path(spark, "labelled")
+    return every
+
+
+@query
+def sink_labelled_roundtrip(spark, sf):
+    every, path = _labelled(spark, sf), scratch_path(spark, "labelled")
     files.write_labelled(every, path)
     return files.read_labelled(spark, path, every.schema).select(every.columns)
 
 
+@query
+def sink_labelled_csv_roundtrip(spark, sf):
+    """The labelled tables as CSV, the form other tools read."""
+    every, path = _labelled(spark, sf), scratch_path(spark, "labelled-csv")
+    files.write_labelled_csv(every, path)
+    return files.read_labelled_csv(spark, path, every.schema).select(every.columns)
+
+
 @query
 def sink_stats_roundtrip(spark, sf):
     rows, fs = _lloyd(spark, sf)
@@ -323,16 +342,21 @@ def kmeans_labels(spark, sf):
 
 @query
 def kmeans_invariants(spark, sf):
-    """Every row sits with its nearest fitted centre, and all k clusters are used."""
+    """All k clusters are used, every row sits with its nearest fitted centre, one more step moves no centre beyond the
+    tolerance (of 1e-4, as the fit's), and the fit is no worse than 20 steps from fixed starts, a fifth given."""
     rows, fs = _scaled(spark, sf)
     model = kmeans.kmeans_fit(rows, zs(fs), K)
     centres = [list(map(float, c)) for c in model.clusterCenters()]
-    from pyspark.ml.feature import VectorAssembler
     labelled = model.transform(VectorAssembler(inputCols=zs(fs), outputCol="v").transform(rows))
-    near = kmeans.assign(labelled.withColumnRenamed("cluster", "fitted"), zs(fs), centres)
+    near = cut(kmeans.assign(labelled.withColumnRenamed("cluster", "fitted").drop("v"), zs(fs), centres))
+    moved = max(sum((a - b) ** 2 for a, b in zip(centres[j], c)) for j, c in kmeans.centroids(near, zs(fs)))
+    plain = kmeans.lloyd(rows, zs(fs), kmeans.first_centres(rows, ID, zs(fs), K), 20)
+    bound = kmeans.assign(rows, zs(fs), plain).agg(F.sum("d2")).first()[0]
     return near.agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("fitted").alias("n_clusters"),
-        F.count(F.when(F.col("fitted") != F.col("cluster"), 1)).alias("n_misplaced"))
+        F.count(F.when(F.col("fitted") != F.col("cluster"), 1)).alias("n_misplaced"),
+        F.lit(moved <= 1e-4).alias("at_rest"),
+        (F.sum("d2") <= 1.2 * bound).alias("no_worse_than_fixed_starts"))
 
 
 @query

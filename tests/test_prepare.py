@@ -68,14 +68,12 @@ def test_dense_index_and_first_rows(spark):
     assert sorted(r["k"] for r in first_rows(df, "k", 10).collect()) == list(range(10))
 
 
-def test_threshold_paths_change_nothing(spark, monkeypatch):
-    import cohorta.operators.keys as keys
+def test_partitions_change_nothing(spark):
     df = spark.range(0, 3000, 1, 8).select(F.col("id").alias("k"))
     plain = [r["k"] for r in sampling.hash_sample(df, "k", 50).collect()]
-    monkeypatch.setattr(keys, "MERGE_ROWS", 1)
-    monkeypatch.setattr(sampling, "MERGE_ROWS", 1)
-    assert [r["k"] for r in sampling.hash_sample(df, "k", 50).collect()] == plain
-    assert [r["k"] for r in first_rows(df, "k", 7).collect()] == list(range(7))
+    for parts in (1, 300):
+        assert [r["k"] for r in sampling.hash_sample(df.repartition(parts), "k", 50).collect()] == plain
+        assert [r["k"] for r in first_rows(df.repartition(parts), "k", 7).collect()] == list(range(7))
 
 
 def test_sample_size_rule(spark):
@@ -103,11 +101,20 @@ def test_csv_tokens_and_types(spark, tmp_path):
     assert [tuple(r) for r in rows] == [(1, 1.5, None), (2, None, 3.0), (3, None, 4.0)]
     prof = {r["file"]: r for r in files.directory_profile(spark, str(folder)).collect()}
     assert set(prof) == {"a.csv", "empty.csv"}
-    assert tuple(prof["a.csv"])[1:] == (3, 4, 4, "ok") and prof["empty.csv"]["status"] == "unreadable"
+    assert tuple(prof["a.csv"])[1:] == (3, 4, 4, "ok") and prof["empty.csv"]["status"] == "unreadable: no columns"
     kinds = {r["column"]: r["dtype"] for r in files.directory_columns(spark, str(folder)).collect()}
     assert kinds == {"SEQN": "int64", "x": "float64", "y": "float64", "t": "object"}
 
 
+def test_bad_cells_are_told(spark, tmp_path):
+    path = str(tmp_path / "b.csv")
+    (tmp_path / "b.csv").write_text('SEQN,x,"y ""q"""\n1,1,2\n2,<5,3\n3,4,\n')
+    assert {r["column"]: r["n"] for r in files.uncastable_cells(spark, path, "SEQN").collect()} == {"SEQN": 0, "x": 1, 'y "q"': 0}
+    assert files.read_csv(spark, path, "SEQN", strict=False).filter("x IS NULL").count() == 1
+    with pytest.raises(Exception, match="column x holds no number: <5"):
+        files.read_csv(spark, path, "SEQN").collect()
+
+
 def test_absent_columns_give_null_means(spark):
     df = spark.createDataFrame([(0, 30.0, 1.0), (0, 40.0, 2.0)], "cluster int, RIDAGEYR double, RIAGENDR double")
     row = stats.key_means(df).first()
