@@ -78,6 +78,28 @@ ORACLES = {
                    count(*) OVER (PARTITION BY text_sha256) AS group_size
             FROM d)
         SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256 FROM g""",
+    "op4_ngram_jaccard_join": """
+        WITH RECURSIVE t AS (
+            SELECT doc_id, regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\\x20\\x09-\\x0D]+') AS l
+            FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, unnest(
+                       CASE WHEN len(l) >= 5 THEN [array_to_string(l[i:i + 4], ' ') FOR i IN range(1, len(l) - 3)]
+                            WHEN len(l) > 0 THEN [array_to_string(l, ' ')] ELSE [] END) AS shingle
+            FROM t),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both
+            FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id),
+        e AS (
+            SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+            WHERE 100 * both >= 75 * (x.n + y.n - both)),
+        r AS (SELECT doc_id AS v, doc_id AS root FROM documents UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.v),
+        c AS (SELECT v, min(root) AS component_id FROM r GROUP BY v)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+        FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.v = d.doc_id""",
     "op8_lm_scores": """
         WITH t AS (
             SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(

@@ -32,7 +32,7 @@ def documents(spark, sf):
     return [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
 
 
-@pytest.mark.parametrize("name", ["op3_exact_dedup", "op8_lm_scores"])
+@pytest.mark.parametrize("name", ["op3_exact_dedup", "op4_ngram_jaccard_join", "op8_lm_scores"])
 def test_against_sql(spark, sf, name):
     text, _, _ = compare(spark, connect(sf), sf, name, entry.queries()[name], entry.oracle_sql()[name])
     assert text.startswith("ok"), text
