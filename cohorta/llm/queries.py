@@ -91,11 +91,11 @@ ORACLES = {
             FROM t),
         n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
         p AS (
-            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o
             FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id),
         e AS (
             SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
-            WHERE 100 * both >= 75 * (x.n + y.n - both)),
+            WHERE 100 * o >= 75 * (x.n + y.n - o)),
         r AS (SELECT doc_id AS v, doc_id AS root FROM documents UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.v),
         c AS (SELECT v, min(root) AS component_id FROM r GROUP BY v)
         SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
