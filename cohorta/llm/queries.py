@@ -100,6 +100,27 @@ ORACLES = {
         c AS (SELECT v, min(root) AS component_id FROM r GROUP BY v)
         SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
         FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.v = d.doc_id""",
+    "op6_suffix_array_dedup": """
+        WITH t AS (
+            SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+        w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM t, unnest(range(0, greatest(n - 49, 0))) u(i)),
+        f AS (
+            SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS least FROM w)
+            WHERE least < doc_id),
+        g AS (
+            SELECT doc_id, i, CASE WHEN i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 1 ELSE 0 END AS gap
+            FROM f),
+        k AS (SELECT doc_id, i, sum(gap) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g),
+        r AS (SELECT doc_id, run, min(i) AS a, max(i) + 50 AS b FROM k GROUP BY doc_id, run),
+        x AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM r),
+        y AS (
+            SELECT t.doc_id, count(*) AS spans, sum(b - a) AS gone, max(b) AS last,
+                   string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+            FROM t JOIN x ON x.doc_id = t.doc_id GROUP BY t.doc_id)
+        SELECT t.doc_id, t.n AS n_bytes, CAST(coalesce(y.gone, 0) AS bigint) AS n_removed,
+               coalesce(y.spans, 0) AS n_spans,
+               sha256(unhex(coalesce(y.kept, '') || substr(t.h, 2 * coalesce(y.last, 0) + 1))) AS kept_sha256
+        FROM t LEFT JOIN y ON y.doc_id = t.doc_id""",
     "op8_lm_scores": """
         WITH t AS (
             SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
