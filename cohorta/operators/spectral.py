@@ -236,3 +236,12 @@ def spectral_pic(df: DataFrame, id_col: str, features, k: int = 5, neighbors: in
     edges = affinity(knn_graph(df, id_col, features, neighbors), id_col).filter("src < dst")
     pic = PowerIterationClustering(k=k, maxIter=iterations, initMode="degree", weightCol="weight")
     return pic.assignClusters(edges).select(F.col("id").alias(id_col), F.col("cluster").cast("int"))
+
+
+def normalized_cut(edges: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
+    """(ncut): over the clusters, the share of the edge weight at a cluster's nodes that leaves it, summed."""
+    a, b = (labels.select(F.col(id_col).alias(end), F.col("cluster").alias(f"c_{end}")) for end in ("src", "dst"))
+    both = edges.filter("src <> dst").join(a, "src").join(b, "dst")
+    return both.groupBy("c_src").agg(
+        F.sum("weight").alias("volume"), F.sum(F.when(F.col("c_src") != F.col("c_dst"), F.col("weight")).otherwise(0.0)).alias(
+            "cut")).agg(F.sum(F.col("cut") / F.col("volume")).alias("ncut"))

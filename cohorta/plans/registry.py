@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohorta.functions.exprs import r6, zs
@@ -487,6 +487,27 @@ def spectral_discretize(spark, sf):
     return spectral.spectral_discretize(rows, ID, zs(fs), K)
 
 
+@query
+def spectral_invariants(spark, sf):
+    """Both spectral labellings: all rows, k clusters numbered by their smallest member, and a normalised cut not above
+    that of k-means labels from fixed starts."""
+    rows, fs = _scaled(spark, sf)
+    edges = cut(_edges(spark, sf))
+    plain, _ = _lloyd(spark, sf)
+    bound = spectral.normalized_cut(edges, plain.select(ID, "cluster"), ID).first()["ncut"]
+    out = None
+    for name, method in (("kmeans", spectral.spectral), ("discretize", spectral.spectral_discretize)):
+        labels = cut(method(rows, ID, zs(fs), K))
+        ncut = spectral.normalized_cut(edges, labels, ID).first()["ncut"]
+        firsts = labels.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.min(ID).alias("low"))
+        part = firsts.select("*", F.dense_rank().over(Window.orderBy("low")).alias("at")).agg(
+            F.sum("size").alias("n"), F.count(F.lit(1)).alias("n_clusters"),
+            F.max(F.abs(F.col("at") - 1 - F.col("cluster"))).alias("misnumbered")).select(
+            F.lit(name).alias("step"), "n", "n_clusters", "misnumbered", F.lit(ncut <= bound + 1e-9).alias("cut_held"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query
 def spectral_pic(spark, sf):
     rows, fs = _scaled(spark, sf)
@@ -817,6 +838,12 @@ def batch_summary(spark, sf):
     return _rounded(batch.run(survey(spark, sf), ID, scratch_path(spark, "batch")))
 
 
+@query
+def batch_facts(spark, sf):
+    """The whole job's counts, which SQL can predict; its scores are in batch_summary."""
+    return batch.run(survey(spark, sf), ID).select("algorithm", "status", "n_clusters", "noise_count", "total_samples")
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Scan, select, clean, scale, assign, describe, and advise: one row per segment."""
     rows, fs = _lloyd(spark, sf)
