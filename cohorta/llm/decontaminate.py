@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds find the places, Smith-Waterman alignment scores them."""
+"""Benchmark decontamination: n-gram seeds find the places, Smith-Waterman alignment scores them."""
 
 from __future__ import annotations
 
@@ -13,8 +13,8 @@ from cohorta.llm.common import texts, without
 from cohorta.llm.hashing import HASH_BYTES, LETTERS, LOWER, flat_bytes, hash_runs, hash_words, word_spans
 from cohorta.llm.tokens import slices
 
-#: Words per seed; of SPAN neighbouring seeds the rarest is used.
-SEED_WORDS, SPAN = 3, 2
+#: Words per seed; every run of so many words of an item is a seed.
+SEED_WORDS = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: An item counts as leaked from this share of its score against itself, or from so many matching words in a row or so.
 SHARE, LONG_RUN = 0.5, 13
@@ -88,55 +88,26 @@ def _runs(words: np.ndarray) -> np.ndarray:
     return hash_runs(words, min(len(words), SEED_WORDS)) if len(words) else np.zeros(0, np.uint64)
 
 
-def _seeds(items: list[np.ndarray], often: dict[int, int]) -> list[np.ndarray]:
-    """Places of each item's seeds: of each SPAN neighbouring runs the one in the fewest documents, so that every
-    SEED_WORDS + SPAN - 1 words copied in a row hold a seed, however often the item was copied."""
-    out = []
-    for words in items:
-        runs = _runs(words)
-        rank = np.array([often.get(int(r), 0) for r in runs], np.int64)
-        n = max(len(runs) - SPAN + 1, min(len(runs), 1))
-        out.append(np.unique([i + int(np.argmin(rank[i:i + SPAN])) for i in range(n)]).astype(np.int64))
-    return out
-
-
 def leaks(docs: DataFrame, benchmark: DataFrame, *, share: float = SHARE, long_run: int = LONG_RUN) -> DataFrame:
     """One row per document and benchmark item found in it: doc_id, item_id, score (share of the item's score against
     itself), matches (equal words in the alignment), words (of the item).
 
-    For each block of items two passes read the corpus where it lies: one counts in how many documents each run of the
-    items occurs, one looks for the seeds and aligns the words around them. Null and empty texts and items match
-    nothing; items shorter than a seed are one seed as a whole. Repeated rows give repeated results. Rows without id
-    are searched too and come out with a null id. Empty tables give no rows.
+    For each block of items one pass reads the corpus where it lies, looks for the seeds and aligns the words around
+    them. All runs are seeds, so a copy is aligned wherever SEED_WORDS words in a row were left as they are, whatever
+    other documents hold; a place without such a run is not looked at. Null and empty texts and items match nothing;
+    items shorter than a seed are one seed as a whole. Repeated rows give repeated results. Rows without id are
+    searched too and come out with a null id. Empty tables give no rows.
     """
     rows = texts(docs)
     out = None
     for block in _blocks(texts(benchmark, "item_id").withColumnRenamed("doc_id", "item_id")):
         words, first = words_of(pa.array([r["text"] for r in block], pa.string()))
         items = [words[a:b] for a, b in zip(first[:-1], first[1:])]
-        grams = Grams(np.concatenate([_runs(i) for i in items] or [np.zeros(0, np.uint64)]))
         sizes = sorted({min(len(i), SEED_WORDS) for i in items if len(i)})
-
-        def count(batches: Iterator[pa.RecordBatch], grams=grams, sizes=sizes) -> Iterator[pa.RecordBatch]:
-            n = np.zeros(len(grams.hashes), np.int64)
-            for batch in batches:
-                for i, j in slices(batch.column(1), HASH_BYTES):
-                    words, first = words_of(batch.column(1).slice(i, j - i))
-                    for size in sizes:
-                        place, hashes = runs_within(words, first, size)
-                        where, which = grams.find(hashes)
-                        doc = np.searchsorted(first, place[where], "right")
-                        n += np.bincount(np.unique(doc * len(n) + which) % max(len(n), 1), minlength=len(n))
-            some = np.flatnonzero(n)
-            yield pa.RecordBatch.from_pydict({"gram": grams.hashes[some].view(np.int64), "n": n[some]})
-
-        often = {r["gram"] % (1 << 64): r["n"] for r in rows.mapInArrow(count, "gram long, n long").groupBy("gram").agg(
-            F.sum("n").alias("n")).collect()}  # at most the runs of one block
-        seeds = _seeds(items, often)
-        known = Grams(np.concatenate([_runs(i)[s] for i, s in zip(items, seeds)] or [np.zeros(0, np.uint64)]))
+        known = Grams(np.concatenate([_runs(i) for i in items] or [np.zeros(0, np.uint64)]))
         spots: list[list[tuple[int, int]]] = [[] for _ in known.hashes]
-        for k, (item, places) in enumerate(zip(items, seeds)):
-            for at, gram in zip(places.tolist(), np.searchsorted(known.hashes, _runs(item)[places]).tolist()):
+        for k, item in enumerate(items):
+            for at, gram in enumerate(np.searchsorted(known.hashes, _runs(item)).tolist()):
                 spots[gram].append((k, at))
         ids = [r["item_id"] for r in block]
 

@@ -155,6 +155,20 @@ def test_leaks_finds_edited_copies(spark):
     assert leaks(many, bench).count() == 300
 
 
+def test_leaks_finds_an_edit_every_fourth_word(spark):
+    """Copies with at most three words in a row, alone and beside others whose runs are rarer."""
+    rng = random.Random(4)
+    items = [(k, [f"c{rng.randrange(3000)}" for _ in range(40)]) for k in range(8)]
+    docs = []
+    for k in range(32):
+        words = [f"n{k}x{i}" if i % 4 == k // 8 else w for i, w in enumerate(items[k % 8][1])]
+        docs.append((k, " ".join([f"d{rng.randrange(3000)}" for _ in range(60)] + words + ["tail"])))
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")
+    for some in (docs[:8], docs, docs + docs[8:] * 3):
+        got = {(r["doc_id"], r["item_id"]): r["matches"] for r in leaks(table(spark, some), bench).collect()}
+        assert got == {(d, d % 8): got.get((d, d % 8)) for d, _ in some} and min(got.values()) >= 29
+
+
 def test_lm_scores_without_words(spark):
     got = by_id(lm_scores(table(spark, [(1, None), (2, " \n"), (3, "a b"), (None, "a b"), (4, "q")])))
     assert got[1] == got[2] == (0, 0, 0, 0.0)
