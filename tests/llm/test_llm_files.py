@@ -172,6 +172,28 @@ def test_licenses(spark):
     assert {k[0] for k in got} == {1, 3, 7, 9, None}
 
 
+def test_licenses_on_long_and_wrapped_lines(spark):
+    rng = random.Random(6)
+
+    def prose(n):
+        return " ".join(rng.choice(["the", "of", "table", "is", "to", "work", "under", "public", "general"]) for _ in range(n))
+
+    rows, want = [], {}
+    for k, (name, text) in enumerate(licenses.TEMPLATES):  # one line of about 30,000 characters
+        rows.append((k, prose(3000) + " " + text + " " + prose(3000)))
+        want[k] = [(name, 0, 0)]
+    rows.append((100, "Released under the MIT License. Then: " + prose(30) + " Licensed under CC BY 4.0. Licensed under CC BY-SA 4.0."))
+    want[100] = [("CC-BY-4.0", 0, 0), ("CC-BY-SA-4.0", 0, 0), ("MIT", 0, 0)]
+    rows.append((101, "intro\nThis work is\nlicensed under the GNU\nGeneral Public License, version 2.\nmore"))
+    rows.append((102, "intro\n# This Source Code Form is subject to the\n# terms of the Mozilla Public License, v. 2.0.\n"))
+    rows.append((103, "x\nAll rights\n * reserved."))
+    want |= {101: [("GPL-2.0", 1, 0)], 102: [("MPL-2.0", 1, 0)], 103: [("all-rights-reserved", 1, 0)]}
+    got = {}
+    for r in licenses.scan(table(spark, rows)).collect():
+        got.setdefault(r["doc_id"], []).append((r["license"], r["line"], r["n_different"]))
+    assert {k: sorted(v) for k, v in got.items()} == want
+
+
 LONG_LICENSE = "line of prose\n" * 30000 + "Licensed under CC BY-NC 4.0."
 
 
