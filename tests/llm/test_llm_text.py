@@ -177,6 +177,27 @@ def test_lm_scores_without_words(spark):
     assert got[4][3] == pytest.approx(np.log(0.16 / 5))
 
 
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_lm_scores_of_any_order(spark, order):
+    rng = random.Random(order)
+    rows = [(k, " ".join(rng.choice("aabbcdE") for _ in range(rng.randrange(0, 12)))) for k in range(25)] + [(99, "a b zzz a b c")]
+    got = by_id(lm_scores(table(spark, rows), order=order))
+    for doc, text in rows:
+        rest, words, x, pairs = [t.lower().split() for d, t in rows if d != doc], text.lower().split(), 0.0, 0
+
+        def count(run):
+            return sum(w[i:i + len(run)] == run for w in rest for i in range(len(w) - len(run) + 1))
+
+        for i in range(len(words)):
+            most = min(order, i + 1)
+            size = next((m for m in range(most, 0, -1) if count(words[i - m + 1:i + 1])), 0)
+            every = sum(map(len, rest))
+            x += np.log(0.4 ** (most - size) * count(words[i - size + 1:i + 1]) / (
+                count(words[i - size + 1:i]) if size > 1 else every) if size else 0.4 ** max(most, 2) / (every + 1))
+            pairs += size > 1
+        assert got[doc][:3] == (len(words), pairs, len(words) - pairs) and got[doc][3] == pytest.approx(x)
+
+
 def test_gradient():
     truth = np.array([1, 0, 1, 0])
     words = toxicity.read_words(pa.array(["you idiot go away", "nice day", "what a stupid clown", "hello world"]))
