@@ -1,5 +1,6 @@
 """Dedup, joins and scores of texts against brute force, SQL and planted cases."""
 
+import hashlib
 import random
 
 import numpy as np
@@ -111,6 +112,28 @@ def test_suffix_array_dedup_on_documents(spark, documents):
     assert by_id(suffix.remove_repeats(table(spark, documents))) == repeats(documents)
 
 
+def test_suffix_array_dedup_of_repeated_and_missing_ids(spark):
+    rng = random.Random(9)
+
+    def noise(n):
+        return "".join(rng.choice("abcdefgh ") for _ in range(n))
+
+    a, b, c = noise(100), noise(80), noise(70)
+    rows = [(1, a + b), (2, c + noise(20)), (None, noise(900) + a), (None, noise(60) + b + noise(60)), (None, noise(90)),
+            (5, noise(300) + c), (5, noise(300) + c[:60]), (5, a + noise(40)), (6, noise(40) + b)]
+    rows += [rows[2], rows[5], rows[8], (None, a + b), (None, a + b)]
+    first, far, want = {}, 1 << 63, []
+    for doc, text in rows:
+        for k in range(len(text) - 49):
+            first[text[k:k + 50]] = min(first.get(text[k:k + 50], far), doc or far)
+    for doc, text in rows:
+        gone = {i for k in range(len(text) - 49) if first[text[k:k + 50]] < (doc or far) for i in range(k, k + 50)}
+        kept = "".join(x for i, x in enumerate(text) if i not in gone)
+        want.append((str(doc), len(text), len(gone), sum(i - 1 not in gone for i in gone), hashlib.sha256(kept.encode()).hexdigest()))
+    got = suffix.remove_repeats(table(spark, rows)).collect()
+    assert sorted((str(r[0]), *r[1:]) for r in got) == sorted(want)
+
+
 def test_suffix_order_is_sorted():
     rng = np.random.default_rng(1)
     text = np.concatenate((rng.integers(97, 99, 3000), np.zeros(suffix.PASSAGE))).astype(np.uint8)
