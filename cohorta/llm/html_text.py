@@ -30,6 +30,12 @@ BESIDE_NAMES = {"ad", "ads", "advert", "adverts", "advertisement", "banner", "sp
                 "sidebar", "comment", "comments", "cookie", "cookies", "notice", "consent", "menu", "nav", "navbar",
                 "navigation", "breadcrumb", "breadcrumbs", "footer", "header", "masthead", "share", "social", "related",
                 "newsletter", "subscribe", "popup", "modal", "widget", "disqus", "complementary", "contentinfo", "search"}
+# Words before a name that say what a page or wrapper has or lacks ("has-sidebar", "no-ads").
+ABOUT = {"has", "have", "no", "not", "with", "without", "hide", "show"}
+# Names of what may well be longer than the article.
+THREADS = {"comment", "comments", "disqus"}
+#: A container with more than this share of a page's words is a wrapper of the page if nothing else says where the article is.
+MOST = 0.5
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*+|[^>]*)>""", re.S)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
@@ -103,10 +109,54 @@ def decide(tree, x: np.ndarray) -> np.ndarray:
     return out
 
 
+def _names(attributes: str) -> set[str]:
+    """The BESIDE_NAMES in class, id and role of an element, without those that a word of ABOUT stands before."""
+    out = set()
+    for value in _NAMES.findall(attributes):
+        for token in value.lower().split():
+            for part in re.findall("[a-z]+", token):
+                if part in ABOUT:
+                    break
+                out.add(part)
+    return out & BESIDE_NAMES
+
+
+class _Container:
+    """An element: what it says of itself, the words in it, and the element around it."""
+
+    def __init__(self, name: str, attributes: str, around: _Container | None):
+        named = _names(attributes) if name != "body" else set()
+        self.name, self.around, self.words = name, around, 0
+        self.beside, self.inside = name in BESIDE or bool(named), name in INSIDE
+        self.may_wrap, self.thread = name not in BESIDE - {"form"}, bool(named & THREADS)
+
+
+def _settle(held: list[_Container], words: int) -> None:
+    """Count the words of the elements, given in the order they open, and hand on to them what those around them say.
+
+    Wrappers of the whole page or of its article are not beside it, whatever they are called. The article is the
+    article or main element with the most words, if there is one.
+    """
+    for c in reversed(held):
+        if c.around:
+            c.around.words += c.words
+    article = max((c for c in held if c.inside and not c.beside), key=lambda c: c.words, default=None)
+    wrappers, at = set(), article
+    while at:
+        wrappers.add(at)
+        at = at.around
+    for c in held:
+        if c.beside and c.may_wrap:
+            c.beside = not (c in wrappers if article else c.words > MOST * words and not c.thread)
+        if c.around:
+            c.beside, c.inside = c.beside or c.around.beside, c.inside or c.around.inside
+
+
 def blocks(page: str) -> tuple[list[str], np.ndarray]:
     """The text blocks of a page in order, and their measures. Tags may be left open or closed twice."""
     texts, facts = [], []
-    stack: list[tuple[str, bool, bool]] = []  # open containers: name, beside, inside
+    stack: list[_Container] = []
+    held: list[_Container] = []
     pieces: list[str] = []
     linked: list[bool] = []
     link, at = False, 0
@@ -117,7 +167,9 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
             in_links = sum(len(p.split()) for p, a in zip(pieces, linked) if a)
             words = len(text.split(" "))
             texts.append(text)
-            facts.append((words, min(in_links / words, 1.0), any(s[1] for s in stack), any(s[2] for s in stack)))
+            facts.append((words, min(in_links / words, 1.0), stack[-1] if stack else None))
+            if stack:
+                stack[-1].words += words
         pieces.clear()
         linked.clear()
 
@@ -148,15 +200,16 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
             link = False
             if name in CONTAINERS:
                 if not tag[1]:
-                    named = {w for v in _NAMES.findall(tag[3]) for w in re.findall("[a-z]+", v.lower())}
-                    stack.append((name, name in BESIDE or bool(named & BESIDE_NAMES), name in INSIDE))
-                elif any(s[0] == name for s in stack):
-                    while stack.pop()[0] != name:
+                    stack.append(_Container(name, tag[3], stack[-1] if stack else None))
+                    held.append(stack[-1])
+                elif any(c.name == name for c in stack):
+                    while stack.pop().name != name:
                         pass
     close()
     if not texts:
         return [], np.zeros((0, len(MEASURES)))
-    own = np.array(facts, np.float64)
+    _settle(held, sum(f[0] for f in facts))
+    own = np.array([(n, links, c is not None and c.beside, c is not None and c.inside) for n, links, c in facts], np.float64)
     edge = np.zeros((1, 2))
     before, after = np.vstack([edge, own[:-1, :2]]), np.vstack([own[1:, :2], edge])
     elsewhere = (own[:, 3] == 0) & (own[:, 3].any())

@@ -150,6 +150,20 @@ def test_pages(spark):
     assert grow(*labelled_table()) == grow(*labelled_table())
 
 
+@pytest.mark.parametrize("article", ["article", "main", "div"])
+@pytest.mark.parametrize("open_, close", [
+    ("<body class='has-sidebar no-ads'>", "</body>"), ("<body class='home widget'>", "</body>"), ("<div class='with-menu'>", "</div>"),
+    ("<div id='layout-sidebar'>", "</div>"), ("<form id='aspnetForm'>", "</form>"), ("<form>", ""),
+    ("<div class='page no-comments'><section class='menu'>", "</section></div>")])
+def test_pages_with_wrappers(article, open_, close):
+    prose = ["A first long line of the article with quite some words in it.", "And a second one which goes on for as many words or more."]
+    page = (f"{open_}<div class='site-menu'><a href='/'>Home</a></div><{article}><p>{prose[0]}</p><p>{prose[1]}</p></{article}>"
+            f"<div class='sidebar'>Some words at the side</div><div class='site-footer'>We are us</div>{close}")
+    assert main_text(page, grow(*labelled_table()))[0] == "\n".join(prose)
+    thread = page + "<div class='comments'>" + "<p>I disagree with all of this and have a lot of words to say about it.</p>" * 9 + "</div>"
+    assert "disagree" not in main_text(thread, grow(*labelled_table()))[0]
+
+
 def test_pages_of_the_table(spark, sf):
     """Pages of the given table mark their article, so its text can be read off."""
     import re
