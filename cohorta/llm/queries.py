@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohorta.llm.decontaminate import leaks
+from cohorta.llm.embedding_forest import near_vectors
 from cohorta.llm.exact_dedup import exact_dedup
 from cohorta.llm.html_text import extract
 from cohorta.llm.jaccard_join import jaccard_components
 from cohorta.llm.licenses import scan
 from cohorta.llm.lm_scores import lm_scores
+from cohorta.llm.mask_search import search
 from cohorta.llm.packing import pack
 from cohorta.llm.repeats import remove_repeats
 from cohorta.llm.token_files import round_trip
 from cohorta.llm.toxicity import toxicity
+from cohorta.llm.turn_repair import repair
 from cohorta.sources.tables import load
 
 
@@ -65,11 +68,23 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return round_trip(load(spark, folder, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
+
+
+def op12_embedding_forest(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(load(spark, folder, "embeddings"))
+
+
+def op13_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair(load(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_html_extraction, op2_license_scan, op3_exact_dedup, op4_ngram_jaccard_join, op5_best_fit_packing,
         op6_suffix_array_dedup, op7_benchmark_decontamination, op8_lm_scores, op8_lm_scores_order3,
-        op9_toxicity, op10_token_files)}
+        op9_toxicity, op10_token_files, op11_ranked_search, op12_embedding_forest, op13_turn_repair)}
 
 ORACLES = {
     "op3_exact_dedup": """
@@ -149,4 +164,115 @@ ORACLES = {
         SELECT doc_id, coalesce(n, 0) AS n_words, coalesce(hits, 0) AS n_pairs, coalesce(n - hits, 0) AS n_backed_off,
                round(coalesce(x, 0.0), 3) AS log_score
         FROM t LEFT JOIN a USING (r)""",
+    "op11_ranked_search": """
+        WITH t AS (
+            SELECT doc_id, row_number() OVER () AS d, regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS l
+            FROM documents),
+        s AS (SELECT count(*) FILTER (len(l) > 0) AS n_docs, sum(len(l))::BIGINT AS n_terms FROM t),
+        i AS (
+            SELECT row_number() OVER () AS q, item_id, regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS l
+            FROM benchmark),
+        k AS (SELECT q, item_id, term, count(*) AS times FROM (SELECT q, item_id, unnest(l) AS term FROM i) GROUP BY ALL),
+        p AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(l) AS term FROM t)
+              WHERE term IN (SELECT term FROM k) GROUP BY d, term),
+        w AS (
+            SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+            FROM p, s GROUP BY term, n_docs),
+        m AS (SELECT d, doc_id, 100 - 25 + ((25 * len(l) * n_docs) // n_terms) AS m FROM t, s WHERE len(l) > 0),
+        a AS (
+            SELECT q, item_id, d, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+            FROM k JOIN p USING (term) JOIN w USING (term) JOIN m USING (d) GROUP BY q, item_id, d, doc_id),
+        o AS (
+            SELECT item_id, doc_id, score,
+                   row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+            FROM a WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 20""",
+    "op12_embedding_forest": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda y: y <> 0)) > 0
+              AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0),
+        e AS (
+            SELECT a.vec_id AS p, b.vec_id AS q
+            FROM v a JOIN v b ON a.label = b.label AND len(a.x) = len(b.x) AND a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.x, b.x) >= 0.93),
+        r AS (SELECT vec_id AS w, vec_id AS root FROM embeddings UNION SELECT e.q, r.root FROM r JOIN e ON e.p = r.w),
+        c AS (SELECT w, min(root) AS component_id FROM r GROUP BY w),
+        n AS (SELECT p, count(*) AS n FROM e GROUP BY p)
+        SELECT m.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, m.vec_id = c.component_id AS kept
+        FROM embeddings m JOIN c ON c.w = m.vec_id LEFT JOIN n ON n.p = m.vec_id""",
+    "op13_turn_repair": """
+        WITH RECURSIVE src AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key
+            FROM conversations),
+        hit AS (
+            SELECT conv_id, turn, role, text, xor(4294967295, list_reduce(
+                       [4294967295] || flatten([[ascii(c), 0, 0, 0, 0, 0, 0, 0] FOR c IN string_split(key, '')]),
+                       lambda c, x: xor(xor(c, x) >> 1, CASE WHEN xor(c, x) & 1 = 1 THEN 3988292384 ELSE 0 END))) % 20 AS kind
+            FROM src),
+        hurt AS (
+            SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                   CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END))
+            FROM hit WHERE kind <> 0),
+        line AS (
+            SELECT conv_id, turn, role, text, left(role, 1) AS ini,
+                   rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS shown,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i
+            FROM hurt),
+        f AS (
+            SELECT *, shown = '' AS blank,
+                   row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen,
+                   right(shown, 1) NOT IN ('.', '!', '?') AS cut, lag(ini) OVER (PARTITION BY conv_id ORDER BY i) AS prev
+            FROM line),
+        e AS (SELECT *, blank OR seen AS gone, CASE WHEN cut AND NOT blank AND NOT seen THEN 1 ELSE 0 END AS late FROM f),
+        r AS (
+            SELECT DISTINCT conv_id, 0::BIGINT AS i, {'c': 0::BIGINT, 'a': ''} AS z, {'c': 1000000000::BIGINT, 'a': ''} AS s,
+                   {'c': 2::BIGINT, 'a': 'I'} AS u, {'c': 4::BIGINT, 'a': 'II'} AS v
+            FROM conversations
+            UNION ALL
+            SELECT conv_id, i, z, s,
+                   list_min([u, {'c': z.c + 2, 'a': z.a || 'I'}, {'c': s.c + 2, 'a': s.a || 'I'}, {'c': v.c + 2, 'a': v.a || 'I'}]),
+                   list_min([v, {'c': z.c + 4, 'a': z.a || 'II'}, {'c': s.c + 4, 'a': s.a || 'II'}, {'c': u.c + 2, 'a': u.a || 'I'}])
+            FROM (
+                SELECT r.conv_id, e.i, {'c': z.c + 3, 'a': z.a || 'D'} AS z,
+                       list_min([{'c': s.c + 3, 'a': s.a || 'D'},
+                                 {'c': z.c + late + CASE WHEN ini = 's' AND NOT gone THEN 0 ELSE 1000000000 END, 'a': z.a || 'K'}]) AS s,
+                       list_min([{'c': u.c + 3, 'a': u.a || 'D'}] || [
+                                 {'c': p.c + late + CASE WHEN gone THEN 1000000000 WHEN ini = 'u' THEN 0 ELSE 2 END,
+                                  'a': p.a || CASE WHEN ini = 'u' THEN 'K' ELSE 'R' END} FOR p IN [z, s, v]]) AS u,
+                       list_min([{'c': v.c + 3, 'a': v.a || 'D'},
+                                 {'c': u.c + late + CASE WHEN gone THEN 1000000000 WHEN ini = 'a' THEN 0 ELSE 2 END,
+                                  'a': u.a || CASE WHEN ini = 'a' THEN 'K' ELSE 'R' END}]) AS v
+                FROM r JOIN e ON e.conv_id IS NOT DISTINCT FROM r.conv_id AND e.i = r.i + 1)),
+        b AS (SELECT conv_id, list_min([arg_max(z, i), arg_max(v, i)]) AS w FROM r GROUP BY conv_id),
+        o AS (
+            SELECT conv_id, k, l, sum((l <> 'I')::INT) OVER w AS i
+            FROM (SELECT conv_id, unnest(string_split(w.a, '')) AS l, generate_subscripts(string_split(w.a, ''), 1) AS k
+                  FROM b WHERE w.a <> '')
+            WINDOW w AS (PARTITION BY conv_id ORDER BY k)),
+        t AS (
+            SELECT o.conv_id, k, l, e.role, CASE WHEN l = 'I' THEN '' ELSE e.text END AS text,
+                   sum((l <> 'D' AND NOT (l = 'K' AND ini = 's'))::INT) OVER (PARTITION BY o.conv_id ORDER BY k) AS n
+            FROM o LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM o.conv_id AND e.i = o.i),
+        h AS (
+            SELECT conv_id, sha256(string_agg(
+                       CASE WHEN l = 'K' THEN role WHEN n % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10)
+                       ORDER BY k)) AS sha
+            FROM t WHERE l <> 'D' GROUP BY conv_id),
+        g AS (
+            SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, sum(blank::INT) AS blank,
+                   sum((seen AND NOT blank)::INT) AS duplicate, sum(late) AS truncated,
+                   sum((prev IS NOT NULL AND prev || ini NOT IN ('su', 'ua', 'au'))::INT) AS illegal
+            FROM e GROUP BY conv_id)
+        SELECT b.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+               coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+               coalesce(illegal, 0)::BIGINT AS illegal, w.c::BIGINT AS cost, w.a AS audit,
+               coalesce(sha, sha256('')) AS repaired_sha256
+        FROM b LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM b.conv_id LEFT JOIN h ON h.conv_id IS NOT DISTINCT FROM b.conv_id""",
 }
