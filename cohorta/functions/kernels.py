@@ -110,26 +110,16 @@ def border_reach(eps2):
     return run
 
 
-def own_block_bound(k):
+def knn_bound(k):
     """Per point: distance at which the points of its own block reach weight k (an upper bound)."""
-    def run(batches):
-        for b in batches:
-            blocks, tops, bounds = [], [], []
-            for i in range(b.num_rows):
-                x, w = _mat(b, "x", i), _vec(b, "wt", i)
-                d2 = sq_dists(x, x)
-                order = np.argsort(d2, axis=1, kind="stable")
-                grown = np.cumsum(w[order], axis=1)
-                at = (grown >= k).argmax(axis=1)
-                rows = np.arange(len(w))
-                bound = np.where(grown[:, -1] >= k, d2[rows, order[rows, at]], np.inf)
-                blocks.append(b.column("block")[i].as_py())
-                tops.append(float(bound.max()))
-                bounds.append(bound)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(blocks, pa.int64()), pa.array(tops, pa.float64()),
-                 pa.array(bounds, pa.list_(pa.float64()))], ["block", "r2", "bound"])
-    return run
+    def bound(x, w):
+        d2 = sq_dists(x, x)
+        order = np.argsort(d2, axis=1, kind="stable")
+        grown = np.cumsum(w[order], axis=1)
+        at = (grown >= k).argmax(axis=1)
+        rows = np.arange(len(w))
+        return np.where(grown[:, -1] >= k, d2[rows, order[rows, at]], np.inf)
+    return bound
 
 
 def nearest_in_pair(k):
@@ -152,50 +142,45 @@ def nearest_in_pair(k):
     return run
 
 
-def _ward_cost(xa, wa, xb, wb, same):
-    cost = sq_dists(xa, xb) * (2.0 * (wa[:, None] * wb[None, :]) / (wa[:, None] + wb[None, :]))
-    if same:
-        np.fill_diagonal(cost, np.inf)
-    return cost
+def _ward_cost(xa, wa, xb, wb):
+    return sq_dists(xa, xb) * (2.0 * (wa[:, None] * wb[None, :]) / (wa[:, None] + wb[None, :]))
 
 
-def ward_own_block():
-    def run(batches):
-        for b in batches:
-            blocks, tops, bounds = [], [], []
-            for i in range(b.num_rows):
-                x, w = _mat(b, "x", i), _vec(b, "wt", i)
-                bound = _ward_cost(x, w, x, w, True).min(axis=1)
-                blocks.append(b.column("block")[i].as_py())
-                tops.append(float(bound.max()))
-                bounds.append(bound)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(blocks, pa.int64()), pa.array(tops, pa.float64()),
-                 pa.array(bounds, pa.list_(pa.float64()))], ["block", "r2", "bound"])
-    return run
+def ward_bound(x, w, stale):
+    """Per cluster that must search: the cheapest partner in its own block (an upper bound); -1 for the others."""
+    out = np.full(len(w), -1.0)
+    todo = np.flatnonzero(stale)
+    if todo.size:
+        cost = _ward_cost(x[:, todo], w[todo], x, w)
+        cost[np.arange(todo.size), todo] = np.inf
+        out[todo] = cost.min(axis=1)
+    return out
 
 
 def ward_nearest():
-    """Cheapest partner in block b for each cluster of block a; ties go to the smaller id."""
+    """Cheapest partner in block b for each cluster of block a that searches; ties go to the smaller id."""
     def run(batches):
         for b in batches:
             src, dst, price = [], [], []
             for i in range(b.num_rows):
-                same = b.column("a_block")[i] == b.column("b_block")[i]
+                bound = _vec(b, "a_bound", i)
+                todo = np.flatnonzero(bound >= 0)
                 cost = _ward_cost(
-                    _mat(b, "a_x", i), _vec(b, "a_wt", i), _mat(b, "b_x", i), _vec(b, "b_wt", i), same)
+                    _mat(b, "a_x", i)[:, todo], _vec(b, "a_wt", i)[todo], _mat(b, "b_x", i), _vec(b, "b_wt", i))
+                if b.column("a_block")[i] == b.column("b_block")[i]:
+                    cost[np.arange(todo.size), todo] = np.inf
                 at = cost.argmin(axis=1)
                 best = cost[np.arange(len(at)), at]
-                keep = (best <= _vec(b, "a_bound", i)) & np.isfinite(best)
-                src.append(_vec(b, "a_pid", i)[keep])
+                keep = (best <= bound[todo]) & np.isfinite(best)
+                src.append(_vec(b, "a_pid", i)[todo[keep]])
                 dst.append(_vec(b, "b_pid", i)[at[keep]])
                 price.append(best[keep])
             yield _emit(["pid", "npid", "cost"], [src, dst, price], [pa.int64(), pa.int64(), pa.float64()])
     return run
 
 
-def ward_finish(columns):
-    """Finish the last rounds on a bounded number of clusters that fit one array."""
+def ward_finish(columns, chunk=512):
+    """Finish the last rounds on a bounded number of clusters in one task, with the same table of partners."""
     def run(batches):
         got = [b for b in batches if b.num_rows]
         if not got:
@@ -207,17 +192,29 @@ def ward_finish(columns):
         w = t.column("wt").to_numpy()[order].astype(float)
         s = np.vstack([t.column(c).to_numpy()[order] for c in columns]) * w
         out = []
+        nn, price, stale = np.zeros(len(pid), np.int64), np.zeros(len(pid)), np.ones(len(pid), bool)
         while len(pid) > 1:
-            x = s / w
-            cost = _ward_cost(x, w, x, w, True)
-            nn = cost.argmin(axis=1)
-            left = np.flatnonzero((nn[nn] == np.arange(len(nn))) & (nn > np.arange(len(nn))))
+            x, todo, place = s / w, np.flatnonzero(stale), np.arange(len(pid))
+            for k in range(0, todo.size, chunk):
+                r = todo[k:k + chunk]
+                cost = _ward_cost(x[:, r], w[r], x, w)
+                cost[np.arange(r.size), r] = np.inf
+                nn[r] = cost.argmin(axis=1)
+                price[r] = cost[np.arange(r.size), nn[r]]
+            mutual = nn[nn] == place
+            left = np.flatnonzero(mutual & (nn > place))
+            if not left.size:  # ties with partners from earlier rounds: all search anew
+                stale[:] = True
+                continue
             right = nn[left]
-            for a, c in zip(left, right):
-                out.append((float(cost[a, c]), int(pid[a]), int(pid[c]), int(w[a] + w[c])))
+            out += zip(price[left].tolist(), pid[left].tolist(), pid[right].tolist(), (w[left] + w[right]).astype(int).tolist())
             s[:, left] += s[:, right]
             w[left] += w[right]
-            pid, w, s = (np.delete(v, right, axis=-1) for v in (pid, w, s))
+            stale = mutual | mutual[nn]
+            keep = np.ones(len(pid), bool)
+            keep[right] = False
+            nn = (np.cumsum(keep) - 1)[nn][keep]
+            pid, w, s, price, stale = pid[keep], w[keep], s[:, keep], price[keep], stale[keep]
         cols = list(zip(*out)) if out else [[], [], [], []]
         yield pa.RecordBatch.from_arrays(
             [pa.array(cols[0], pa.float64()), pa.array(cols[1], pa.int64()),

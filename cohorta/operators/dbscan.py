@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohorta.functions import kernels
-from cohorta.operators.blocks import Blocks, RangePairs, pack, range_pairs, run_pairs
+from cohorta.operators.blocks import Blocks, RangePairs, pack_tree, range_pairs, run_pairs, sums_by
 from cohorta.operators.keys import Collapsed, collapse, connected_components, dense_index
 from cohorta.session import cut, stage
 
@@ -45,7 +45,7 @@ class DensityInput:
 
 def density_input(df: DataFrame, id_col: str, features) -> DensityInput:
     copies = collapse(df, id_col, features)
-    return DensityInput(copies, pack(copies.points, features, copies.n_points))
+    return DensityInput(copies, pack_tree(copies.points, features, copies.n_points))
 
 
 class Density:
@@ -64,7 +64,7 @@ class Density:
         """part, block, pid, w, n: rows within eps of each point, itself included."""
         seen = run_pairs(
             self.blocks, self.pairs.open, kernels.count_within(self.eps2), "pid long, n double",
-            ("pid", "wt", "x"), ("pid", "wt", "x")).groupBy("pid").agg(F.sum("n").alias("n_open"))
+            ("pid", "wt", "x"), ("pid", "wt", "x"), sums_by("pid", value="n")).groupBy("pid").agg(F.sum("n").alias("n_open"))
         out, parts = self.blocks.points().join(seen, "pid", "left"), ["coalesce(n_open, 0D)"]
         for level, inside in self.pairs.inside:
             weights = self.blocks.heads().groupBy(level).agg(F.sum("w").alias("w_node"))

@@ -38,7 +38,7 @@ def block_bits(request, monkeypatch):
     if request.param == 4:
         monkeypatch.setattr(blocks, "BLOCKS_PER_PART", 2)
         monkeypatch.setattr(blocks, "BROADCAST_BYTES", 0)
-        monkeypatch.setattr(ward, "DIRECT_BLOCKS", 0)
+        monkeypatch.setattr(blocks, "BAND_ROWS", 60)
 
 
 def labels_of(df, key="id"):
