@@ -122,11 +122,12 @@ def knn_bound(k):
     return bound
 
 
-def nearest_in_pair(k):
-    """Up to k nearest points of block b for each point of block a, never beyond the known bound."""
+def nearest_in_pair(k, carry=None):
+    """Up to k nearest points of block b for each point of block a, never beyond the known bound; with a carried column
+    of b, as whole numbers, if one is named."""
     def run(batches):
         for b in batches:
-            src, dst, dist = [], [], []
+            src, dst, dist, also = [], [], [], []
             for i in range(b.num_rows):
                 d2 = sq_dists(_mat(b, "a_x", i), _mat(b, "b_x", i))
                 r, c = np.nonzero(d2 <= _vec(b, "a_bound", i)[:, None])
@@ -138,7 +139,13 @@ def nearest_in_pair(k):
                 src.append(_vec(b, "a_pid", i)[r[keep]])
                 dst.append(_vec(b, "b_pid", i)[c[keep]])
                 dist.append(d[keep])
-            yield _emit(["pid", "npid", "d2"], [src, dst, dist], [pa.int64(), pa.int64(), pa.float64()])
+                if carry:
+                    also.append(_vec(b, f"b_{carry}", i)[c[keep]].astype(np.int64))
+            names, types = ["pid", "npid", "d2"], [pa.int64(), pa.int64(), pa.float64()]
+            if carry:
+                yield _emit([*names, carry], [src, dst, dist, also], [*types, pa.int64()])
+            else:
+                yield _emit(names, [src, dst, dist], types)
     return run
 
 
@@ -252,6 +259,25 @@ def _columns(batch, names):
     return np.vstack([batch.column(n).to_numpy(zero_copy_only=False) for n in names])
 
 
+def cluster_sums(centres, features, chunk=4096):
+    """Rows and feature sums of each nearest centre over the rows of this task; ties go to the smaller number."""
+    k, d = centres.shape
+
+    def run(batches):
+        n, sums = np.zeros(k, np.int64), np.zeros((d, k))
+        for b in batches:
+            x = _columns(b, features)
+            for s in range(0, x.shape[1], chunk):
+                part = x[:, s:s + chunk]
+                at = sq_dists(centres.T, part).argmin(axis=0)
+                n += np.bincount(at, minlength=k)
+                for j in range(d):
+                    sums[j] += np.bincount(at, part[j], minlength=k)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(k, dtype=np.int32)), pa.array(n), *map(pa.array, sums)], ["cluster", "n", *features])
+    return run
+
+
 def anchor_sums(anchors, features, chunk=512):
     """Distance sums from a bounded set of anchors to the rows of this task, by cluster."""
     def run(batches):
@@ -275,6 +301,24 @@ def anchor_sums(anchors, features, chunk=512):
     return run
 
 
+def kth_in_pair(k):
+    """Per block a and its points: the distance at which the rows of block b reach weight k (a bound for a vote)."""
+    def run(batches):
+        for b in batches:
+            tops, bounds = [], []
+            for i in range(b.num_rows):
+                d2, w = sq_dists(_mat(b, "a_x", i), _mat(b, "b_x", i)), _vec(b, "b_wt", i)
+                order = np.argsort(d2, axis=1, kind="stable")
+                at = (np.cumsum(w[order], axis=1) >= k).argmax(axis=1)
+                rows = np.arange(len(d2))
+                bounds.append(d2[rows, order[rows, at]])
+                tops.append(float(bounds[-1].max()))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("a_block"), pa.array(tops, pa.float64()), pa.array(bounds, pa.list_(pa.float64()))],
+                ["block", "r2", "bound"])
+    return run
+
+
 def vote(sample, features, id_col, k, chunk=256):
     """Majority label of the k nearest sample rows; distance ties by id, vote ties by smaller label."""
     def run(batches):

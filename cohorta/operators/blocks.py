@@ -319,6 +319,48 @@ def bounded_pairs(blk: Blocks, by_weight: bool = False) -> DataFrame:
     return _open(top, blk.heads("r2", "w_min"), half=False).filter(test).select("a_block", "b_block")
 
 
+#: Block numbers of the second table of a two-sided join start here.
+SECOND = 1 << 52
+
+
+def both_sides(a: Blocks, b: Blocks) -> Blocks:
+    """Blocks of two tables as one, for pairs whose b_block is a block of the second."""
+    shifted = b.table.withColumn("block", F.col("block") + SECOND)
+    return replace(a, table=a.table.unionByName(shifted, allowMissingColumns=True), n_points=a.n_points + b.n_points)
+
+
+def _two_sided(a: Blocks, b: Blocks, a_extra: dict, near) -> DataFrame:
+    """Pairs of block heads (a_*, b_*) of two tables whose partitions are `near`; equi-joins on partition numbers."""
+    left, right = _side(a.heads(*a_extra), "a"), _side(b.heads(), "b")
+    if a.n_parts == 1 and b.n_parts == 1:  # few blocks: all lie in one partition
+        return left.join(right, F.col("a_part") == F.col("b_part"))
+    meet = _side(a.parts(**a_extra), "a").withColumn(
+        "b_part", F.explode(F.sequence(F.lit(0), F.lit(b.n_parts - 1)))).join(_side(b.parts(), "b"), "b_part")
+    return near(meet).select("a_part", "b_part").join(left, "a_part").join(right, "b_part")
+
+
+def home_pairs(a: Blocks, b: Blocks, need: float) -> DataFrame:
+    """(a_block, b_block): for each block of a, the block of b that holds `need` rows within the shortest reach of it.
+
+    The reach, the largest distance between the two boxes, bounds how far the `need` nearest rows can lie. Partitions of b
+    are passed over whose gap exceeds the reach of one that holds enough.
+    """
+    gap, span = box_gap2("a", "b", a.dims), box_span2("a", "b", a.dims)
+
+    def near(meet: DataFrame) -> DataFrame:
+        meet = meet.select("a_part", "b_part", gap.alias("gap"), F.when(F.col("b_w") >= need, span).alias("reach"))
+        limit = meet.groupBy("a_part").agg(F.min("reach").alias("limit"))
+        return meet.join(limit, "a_part").filter("limit IS NULL OR gap <= limit")
+    return _two_sided(a, b, {}, near).filter(F.col("b_w") >= need).groupBy("a_block").agg(
+        F.min(F.struct(span.alias("s"), F.col("b_block"))).alias("h")).select("a_block", F.col("h.b_block").alias("b_block"))
+
+
+def reach_pairs(a: Blocks, b: Blocks) -> DataFrame:
+    """(a_block, b_block): blocks of b that may hold a point within the bound known for a block of a (column r2)."""
+    test = box_gap2("a", "b", a.dims) <= F.col("a_r2")
+    return _two_sided(a, b, {"r2": F.max("r2")}, lambda meet: meet.filter(test)).filter(test).select("a_block", "b_block")
+
+
 def all_pairs(blk: Blocks) -> DataFrame:
     """Every unordered block pair, for sums that need all points."""
     top = _meet(blk, half=True).select("a_part", "b_part") if blk.n_parts > 1 else None

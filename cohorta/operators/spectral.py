@@ -226,7 +226,7 @@ def spectral_sampled(df: DataFrame, id_col: str, features, sample_rows: int, k:
     size; a table that is not larger is fitted as a whole."""
     fit_on = cut(hash_sample(df.select(id_col, *features), id_col, sample_rows))
     labels = cut(discretize(_embed(fit_on, id_col, features, k, neighbors), k).withColumnRenamed("id", id_col))
-    return canonical(propagate(df, labels, id_col, features, VOTE_NEIGHBORS, sample_bound=sample_rows), id_col)
+    return canonical(propagate(df, labels, id_col, features, VOTE_NEIGHBORS), id_col)
 
 
 def spectral_pic(df: DataFrame, id_col: str, features, k: int = 5, neighbors: int = GRAPH_NEIGHBORS,

@@ -10,6 +10,8 @@ FS = ["RIDAGEYR", "RIAGENDR", "BMXBMI", "BPXSY1", "BPXDI1", "LBXTC", "SMQ020", "
 ZS = [f"z_{f}" for f in FS]
 K = 5
 PARTS: dict[str, str] = {}
+#: Parts in long chains, which must not be unfolded at each use.
+ONCE: set[str] = set()
 
 
 def _cols(prefix, names):
@@ -33,7 +35,8 @@ def sql(body: str) -> str:
     names = _needs(body, [])
     if not names:
         return body
-    return "WITH RECURSIVE " + ",\n".join(f"{n} AS ({PARTS[n]})" for n in names) + "\n" + body
+    return "WITH RECURSIVE " + ",\n".join(
+        f"{n} AS {'MATERIALIZED ' if n in ONCE else ''}({PARTS[n]})" for n in names) + "\n" + body
 
 
 # ---- survey, complete rows, z-scores ----
@@ -62,15 +65,43 @@ PARTS["zed"] = f"SELECT c.SEQN, {_cols('c', FS)}, " + ", ".join(
 
 PARTS["cen0"] = (f"SELECT CAST(row_number() OVER (ORDER BY SEQN) - 1 AS integer) AS cluster, {', '.join(ZS)} "
                  f"FROM zed QUALIFY row_number() OVER (ORDER BY SEQN) <= {K}")
-for _r in range(4):
-    PARTS[f"asg{_r}"] = (
-        f"SELECT SEQN, {', '.join(FS + ZS)}, cluster, d2 FROM (SELECT z.*, c.cluster, {_d2('z', 'c')} AS d2 "
-        f"FROM zed z CROSS JOIN cen{_r} c) QUALIFY row_number() OVER (PARTITION BY SEQN ORDER BY d2, cluster) = 1")
-    PARTS[f"cen{_r + 1}"] = (
-        "SELECT c.cluster, " + ", ".join(f"coalesce(avg(a.{z}), any_value(c.{z})) AS {z}" for z in ZS) +
-        f" FROM cen{_r} c LEFT JOIN asg{_r} a ON a.cluster = c.cluster GROUP BY c.cluster")
+
+
+def _rounds(asg: str, cen: str, rounds: int):
+    for r in range(rounds):
+        PARTS[f"{asg}{r}"] = (
+            f"SELECT SEQN, {', '.join(FS + ZS)}, cluster, d2 FROM (SELECT z.*, c.cluster, {_d2('z', 'c')} AS d2 "
+            f"FROM zed z CROSS JOIN {cen}{r} c) QUALIFY row_number() OVER (PARTITION BY SEQN ORDER BY d2, cluster) = 1")
+        PARTS[f"{cen}{r + 1}"] = (
+            "SELECT c.cluster, " + ", ".join(f"coalesce(avg(a.{z}), any_value(c.{z})) AS {z}" for z in ZS) +
+            f" FROM {cen}{r} c LEFT JOIN {asg}{r} a ON a.cluster = c.cluster GROUP BY c.cluster")
+
+
+_rounds("asg", "cen", 4)
 PARTS["lab"] = "SELECT * FROM asg2"
 
+# ---- K-means from a k-means++ start that is drawn by digests ----
+
+
+def _race(turn: int) -> str:
+    return f"-ln((CAST('0x' || substr(md5(z.SEQN || ':42:{turn}'), 1, 13) AS bigint) + 1) / {1 << 52}::DOUBLE)"
+
+
+PLUS_ROUNDS = 20
+PARTS["plus0"] = f"SELECT z.* FROM zed z ORDER BY {_race(0)}, z.SEQN LIMIT 1"
+for _r in range(1, K):
+    PARTS[f"plus{_r}"] = (
+        "SELECT * EXCLUDE (race) FROM (SELECT z.*, " + _race(_r) + " / least(" + ", ".join(
+            _d2("z", f"p{j}") for j in range(_r)) + ") AS race FROM zed z, " + ", ".join(f"plus{j} p{j}" for j in range(_r)) +
+        ") WHERE isfinite(race) ORDER BY race, SEQN LIMIT 1")
+PARTS["pcen0"] = " UNION ALL ".join(
+    f"SELECT CAST({j} AS integer) AS cluster, {', '.join(ZS)} FROM plus{j}" for j in range(K))
+_rounds("pasg", "pcen", PLUS_ROUNDS + 1)
+ONCE |= {"zed"} | {n for n in PARTS if n.startswith(("plus", "pasg", "pcen"))}
+PARTS["plab"] = (
+    "SELECT SEQN, CAST(dense_rank() OVER (ORDER BY low) - 1 AS integer) AS cluster FROM "
+    f"(SELECT SEQN, min(SEQN) OVER (PARTITION BY cluster) AS low FROM pasg{PLUS_ROUNDS})")
+
 # ---- DBSCAN with (eps, min_samples) ----
 
 
@@ -361,6 +392,8 @@ _add("pca_explained", " UNION ALL ".join(
 # K-means
 _add("kmeans_invariants", f"SELECT count(*) AS n, CAST({K} AS bigint) AS n_clusters, CAST(0 AS bigint) AS n_misplaced, "
                           "true AS at_rest, true AS no_worse_than_fixed_starts FROM complete")
+_add("kmeans_labels", "SELECT SEQN, cluster FROM plab")
+_add("kmeans_start", "SELECT cluster, " + ", ".join(f"round({z}, 6) AS {z}" for z in ZS) + " FROM pcen0")
 _add("kmeans_assign", "SELECT SEQN, cluster, round(d2, 6) AS d2 FROM asg0")
 _add("kmeans_lloyd_n", "SELECT SEQN, cluster FROM asg3")
 _add("kmeans_inertia", "SELECT cluster, count(*) AS n, round(sum(d2), 6) AS inertia FROM asg2 GROUP BY cluster")

@@ -336,8 +336,18 @@ def pca_explained(spark, sf):
 
 @query
 def kmeans_labels(spark, sf):
+    """From a seeded k-means++ start, until a round moves no centre, after 20 rounds at most."""
     rows, fs = _scaled(spark, sf)
-    return spectral.canonical(kmeans.kmeans(rows, ID, zs(fs), K), ID)
+    return spectral.canonical(kmeans.kmeans(rows, ID, zs(fs), K, max_rounds=20, tol=0.0), ID)
+
+
+@query
+def kmeans_start(spark, sf):
+    """The rows that a seeded k-means++ start draws, in turn."""
+    rows, fs = _scaled(spark, sf)
+    centres = kmeans.plus_plus_centres(rows, ID, zs(fs), K)
+    drawn = spark.createDataFrame([(j, *c) for j, c in enumerate(centres)], "cluster int, " + ", ".join(f"{f} double" for f in zs(fs)))
+    return _rounded(drawn)
 
 
 @query

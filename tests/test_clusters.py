@@ -2,9 +2,10 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cohorta.functions.exprs import zs
-from cohorta.operators import blocks, dbscan, kmeans, neighbors, prepare, sampling, silhouette, spectral, ward
+from cohorta.operators import blocks, dbscan, keys, kmeans, neighbors, prepare, sampling, silhouette, spectral, ward
 from cohorta.sources.tables import survey
 
 FS = ["a", "b", "c"]
@@ -267,3 +268,47 @@ def test_order_and_partitioning_do_not_matter(spark, data):
     a = labels_of(dbscan.dbscan(df.repartition(11), "id", FS, 0.8, 6))
     b = labels_of(dbscan.dbscan(df.coalesce(1).orderBy("c"), "id", FS, 0.8, 6))
     assert (a == b).all()
+
+
+def test_plus_plus_start_draws_by_distance_and_repeats(spark, data):
+    x, df = data
+    first = kmeans.plus_plus_centres(df, "id", FS, 4, seed=5)
+    assert first == kmeans.plus_plus_centres(df.repartition(3), "id", FS, 4, seed=5)
+    assert first != kmeans.plus_plus_centres(df, "id", FS, 4, seed=6)
+    two = spark.createDataFrame([(k, float(k % 2), 0.0, 0.0) for k in range(40)], "id long, a double, b double, c double")
+    assert sorted(kmeans.plus_plus_centres(two, "id", FS, 5)) == [[0.0, 0.0, 0.0], [1.0, 0.0, 0.0]]
+    assert kmeans.plus_plus_centres(two.limit(0), "id", FS, 5) == []
+    # A row of three times the squared distance is drawn three times as often.
+    line = spark.createDataFrame([(0, 0.0, 0.0, 0.0), (1, 1.0, 0.0, 0.0), (2, -3.0 ** 0.5, 0.0, 0.0)], "id long, a double, b double, c double")
+    drawn = [kmeans.plus_plus_centres(line, "id", FS, 2, seed=s) for s in range(24)]
+    second = [c[1][0] for c in drawn if c[0][0] == 0.0]
+    assert len(second) >= 4 and sum(v < 0 for v in second) > len(second) / 2
+    want = kmeans.lloyd(df, FS, first, 6)
+    assert np.allclose(kmeans.settle(df, FS, first, 6, 0.0), want)
+
+
+def test_vote_by_blocks_is_the_vote_of_a_small_sample(spark, data, block_bits, monkeypatch):
+    x, df = data
+    sample = df.filter("id % 2 = 1").withColumn("cluster", (F.col("id") % 3).cast("int"))
+    rest = df.filter("id % 2 = 0")
+    plain = sorted(map(tuple, neighbors.knn_vote(sample, rest, "id", FS, 5).collect()))
+    monkeypatch.setattr(neighbors, "SENT_VOTERS", 0)
+    assert len(plain) > 50 and sorted(map(tuple, neighbors.knn_vote(sample, rest, "id", FS, 5).collect())) == plain
+    few = sample.limit(3)
+    assert neighbors.knn_vote(few, rest, "id", FS, 5).count() == rest.count()
+    assert neighbors.knn_vote(sample.limit(0), rest, "id", FS, 5).collect() == []
+
+
+def test_prefix_is_cut_before_it_is_sorted(spark):
+    df = spark.range(200_000).select((F.xxhash64("id") % 1_000_000).alias("key"), F.col("id")).repartition(64)
+    df = df.withColumn("key", F.when(F.col("id") % 5000 == 0, None).otherwise(F.col("key")))
+    for n in (1, 30, 5000, 300_000):
+        near = keys.cut_prefix(df, F.col("key"), n)
+        assert min(n, 200_000) <= near.count() <= max(4 * n, 40 * 200_000 / keys.SKETCH_ACCURACY)
+    got = [r["key"] for r in keys.first_rows(df, "key", 100).collect()]
+    want = sorted((r["key"] for r in df.select("key").collect()), key=lambda v: (v is not None, v or 0))[:100]
+    assert got == want
+    same = spark.range(1000).select(F.lit(7).alias("key"))
+    assert keys.first_rows(same, "key", 10).count() == 10 and keys.first_rows(same.limit(0), "key", 10).count() == 0
+    assert [r["id"] for r in sampling.hash_sample(df.select("id"), "id", 50).collect()] == [
+        r["id"] for r in df.orderBy(F.md5(F.col("id").cast("string")), "id").limit(50).collect()]
