@@ -1,7 +1,9 @@
 """Spectral clustering on a nearest-neighbour graph held as an edge table.
 
 Eigenvectors come from Chebyshev-filtered subspace iteration (Zhou & Saad, 2007): a step is one join of the
-edges with the current vectors and one grouped sum; only p x p inner products reach the driver. The
+edges with the current vectors and one grouped sum; only p x p inner products reach the driver. Edges are written once,
+in buckets of their source, and the vectors of each step in the same buckets of their row, so edges stay where they are
+in every step: what moves is one partial sum per task and target. The
 eigenvalue 1 has one eigenvector per connected component, known exactly, so components are resolved first and
 the iteration works beside them.
 """
@@ -13,12 +15,11 @@ from pyspark.ml.clustering import PowerIterationClustering
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohorta.operators.blocks import BROADCAST_BYTES
 from cohorta.operators.keys import connected_components, dense_index, small
 from cohorta.operators.kmeans import kmeans
 from cohorta.operators.neighbors import knn_graph
 from cohorta.operators.sampling import hash_sample, propagate
-from cohorta.session import cut
+from cohorta.session import bucketed, cut, stage
 
 # Neighbours in the graph and neighbours in the label vote.
 GRAPH_NEIGHBORS = 10
@@ -60,22 +61,33 @@ def _mix(names, weights) -> str:
 class _Vectors:
     """p vectors over the rows of a graph: columns y0.. (current) and x0.. (previous filter step)."""
 
-    def __init__(self, edges: DataFrame, nodes: DataFrame, n_nodes: int, p: int):
-        self.edges, self.n_nodes, self.p = edges, n_nodes, p
+    def __init__(self, edges: DataFrame, nodes: DataFrame, p: int):
+        self.p, self.kept = p, None
+        self.edges = bucketed(edges.repartition("src"), "src", "edges")
         self.y, self.x = [f"y{j}" for j in range(p)], [f"x{j}" for j in range(p)]
         # Repeatable noise from the key; any start that is not orthogonal to the answer will do.
         noise = [f"xxhash64(id, {j}) / 9.3e18D AS y{j}" for j in range(p)]
-        self.state = cut(nodes.selectExpr("id", "comp", "s", *noise))
+        self._keep(nodes.repartition("id").selectExpr("id", "comp", "s", *noise))
 
-    def _sources(self) -> DataFrame:
-        """Current vectors by edge source; broadcast while their size, known from the row count, is small."""
-        out = self.state.select(F.col("id").alias("src"), *self.y)
-        return F.broadcast(out) if self.n_nodes * (self.p + 1) * 8 <= BROADCAST_BYTES else out
+    def _keep(self, state: DataFrame):
+        """Write the vectors of a step in their buckets; the ones before are no longer read."""
+        before, self.kept = self.kept, bucketed(state, "id", "vectors")
+        self.state = self.kept.table
+        if before:
+            before.drop()
+
+    def close(self):
+        self.edges.drop()
+        self.kept.drop()
+
+    def _flow(self) -> DataFrame:
+        """Edges with the vectors of their sources; both lie in the same buckets."""
+        return self.edges.table.join(self.state.select(F.col("id").alias("src"), *self.y), "src")
 
     def _times(self) -> DataFrame:
         """The graph matrix times the current vectors, beside the state, as m0..."""
         sums = [F.sum(F.col("weight") * F.col(y)).alias(f"m{j}") for j, y in enumerate(self.y)]
-        prod = self.edges.join(self._sources(), "src").groupBy(F.col("dst").alias("id")).agg(*sums)
+        prod = self._flow().groupBy(F.col("dst").alias("id")).agg(*sums)
         return self.state.join(prod, "id", "left").fillna(0.0, [f"m{j}" for j in range(self.p)])
 
     def deflate(self):
@@ -83,20 +95,23 @@ class _Vectors:
         part = self.state.groupBy("comp").agg(
             *[(F.sum(F.col("s") * F.col(y)) / F.sum(F.col("s") * F.col("s"))).alias(f"c{j}")
               for j, y in enumerate(self.y)])
-        self.state = cut(self.state.join(part, "comp").selectExpr(
+        self._keep(self.state.join(part, "comp").repartition("id").selectExpr(
             "id", "comp", "s", *[f"{y} - s * c{j} AS {y}" for j, y in enumerate(self.y)]))
 
-    def _step(self, a: float, b: float, c: float):
-        """y becomes a * (matrix times y) + b * y + c * x, and x the old y: one join and one grouped sum."""
+    def step_frame(self, a: float, b: float, c: float) -> DataFrame:
+        """a * (matrix times y) + b * y + c * x as y, and the old y as x: one join and one grouped sum."""
         old = f"{c!r}D * x{{0}}" if c else "0D"
         own = self.state.selectExpr(
             "id", "comp", "s", *[f"{b!r}D * y{j} + {old.format(j)} AS y{j}" for j in range(self.p)],
             *[f"y{j} AS x{j}" for j in range(self.p)])
-        flow = self.edges.join(self._sources(), "src").selectExpr(
+        flow = self._flow().selectExpr(
             "dst AS id", "CAST(NULL AS bigint) AS comp", "CAST(NULL AS double) AS s",
             *[f"{a!r}D * weight * y{j} AS y{j}" for j in range(self.p)], *[f"0D AS x{j}" for j in range(self.p)])
-        self.state = cut(own.union(flow).groupBy("id").agg(
-            F.max("comp").alias("comp"), F.max("s").alias("s"), *[F.sum(v).alias(v) for v in self.y + self.x]))
+        return own.union(flow).groupBy("id").agg(
+            F.max("comp").alias("comp"), F.max("s").alias("s"), *[F.sum(v).alias(v) for v in self.y + self.x])
+
+    def _step(self, a: float, b: float, c: float):
+        self._keep(self.step_frame(a, b, c))
 
     def filter(self, low: float, degree: int):
         """Chebyshev polynomial that is small on [-1, low] and grows above it."""
@@ -149,8 +164,7 @@ def embedding(edges: DataFrame, degree: DataFrame, comps: DataFrame, k: int, spa
     more = k - len(lead)
     if not more:
         return nodes.selectExpr("id", *marks)
-    n_nodes = nodes.count()
-    vec = _Vectors(cut(normalized_affinity(edges, degree)), nodes, n_nodes, more + spare)
+    vec = _Vectors(normalized_affinity(edges, degree), nodes, more + spare)
     low = 0.5
     for _ in range(max_rounds):
         vec.deflate()
@@ -162,12 +176,14 @@ def embedding(edges: DataFrame, degree: DataFrame, comps: DataFrame, k: int, spa
     else:
         raise RuntimeError(f"spectral vectors did not settle in {max_rounds} rounds")
     rest = [f"CASE WHEN s > 0 THEN y{j} / s ELSE 0D END AS e{len(lead) + j}" for j in range(more)]
-    return vec.state.selectExpr("id", *marks, *rest)
+    found = stage(vec.state.selectExpr("id", *marks, *rest), "embedding")
+    vec.close()
+    return found
 
 
 def _embed(df: DataFrame, id_col: str, features, k: int, neighbors: int) -> DataFrame:
     edges = cut(affinity(knn_graph(df, id_col, features, neighbors), id_col))
-    return cut(embedding(edges, cut(graph_degree(edges)), cut(graph_components(edges)), k))
+    return embedding(edges, cut(graph_degree(edges)), cut(graph_components(edges)), k)
 
 
 def canonical(labels: DataFrame, id_col: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,5 +62,35 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@dataclass(frozen=True)
+class Bucketed:
+    """A written table whose rows are placed by a key as a shuffle would place them, so that joins and groups on it need none."""
+    table: DataFrame
+    name: str
+    path: str
+
+    def drop(self) -> None:
+        spark = self.table.sparkSession
+        spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        remove(spark, self.path)
+
+
+def bucketed(df: DataFrame, key: str, label: str) -> Bucketed:
+    """Write a table to scratch in as many buckets of a key as shuffles have partitions. A frame that was grouped or
+    repartitioned by the key already is written as it lies."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    name = f"cohorta_{label.replace('-', '_')}_{path.rsplit('-', 1)[1]}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet").saveAsTable(name)
+    return Bucketed(spark.table(name), name, path)
+
+
 def parallelism(spark: SparkSession) -> int:
     return max(spark.sparkContext.defaultParallelism, 1)

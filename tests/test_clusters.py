@@ -312,3 +312,29 @@ def test_prefix_is_cut_before_it_is_sorted(spark):
     assert keys.first_rows(same, "key", 10).count() == 10 and keys.first_rows(same.limit(0), "key", 10).count() == 0
     assert [r["id"] for r in sampling.hash_sample(df.select("id"), "id", 50).collect()] == [
         r["id"] for r in df.orderBy(F.md5(F.col("id").cast("string")), "id").limit(50).collect()]
+
+
+def test_spectral_step_moves_no_edges(spark):
+    edges = spark.range(4000).selectExpr("id % 200 AS src", "(id * 7) % 200 AS dst", "0.5D AS weight")
+    nodes = spark.range(200).selectExpr("id", "id % 3 AS comp", "1D AS s")
+    vec = spectral._Vectors(edges, nodes, 3)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        step = vec.step_frame(1.5, -0.5, 0.0)
+        plan = step._jdf.queryExecution().sparkPlan().toString(), step._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan[1]
+        # One exchange, of partial sums: it lies above the join and above the partial aggregate.
+        assert plan[1].count("Exchange hashpartitioning") == 1
+        assert plan[1].index("Exchange hashpartitioning") < plan[1].index("SortMergeJoin")
+        got = {r["id"]: r["y0"] for r in step.collect()}
+        y = {r["id"]: r["y0"] for r in vec.state.collect()}
+        want = {k: -0.5 * v for k, v in y.items()}
+        for r in edges.collect():
+            want[r["dst"]] += 1.5 * r["weight"] * y[r["src"]]
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    tables = [vec.edges.name, vec.kept.name]
+    vec.close()
+    assert not [t for t in tables if spark.catalog.tableExists(t)]
