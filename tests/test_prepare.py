@@ -106,6 +106,35 @@ def test_csv_tokens_and_types(spark, tmp_path):
     assert kinds == {"SEQN": "int64", "x": "float64", "y": "float64", "t": "object"}
 
 
+def test_directory_of_many_files_is_one_plan(spark, tmp_path):
+    folder = tmp_path / "my data+1"
+    folder.mkdir()
+    for k in range(40):
+        (folder / f"t{k:02d}.csv").write_text(f"id,c{k}\n" + "".join(f"{r},{r * k}.5\n" for r in range(k)))
+    (folder / "wide.csv").write_text('\n"a, ""b""",n,,z\n1,2,3,4,5,6\nx,"open, 7\n\n9\n')
+    (folder / "blank.csv").write_text("\n \n")
+    parts = folder / "parts.csv"
+    parts.mkdir()
+    (parts / "part-0.csv").write_text("a,b\n1,2\n")
+    (parts / "part-1.csv").write_text("b,a\n3,4\n5,NA\n")
+    plans = []
+    for keep in (41, 3):
+        got = files.directory_columns(spark, str(folder))
+        plans.append(len(got._jdf.queryExecution().analyzed().toString()))
+        if keep == 41:
+            prof = {r["file"]: tuple(r)[1:] for r in files.directory_profile(spark, str(folder)).collect()}
+            kinds = {(r["file"], r["column"]): (r["dtype"], r["missing"], r["n_rows"]) for r in got.collect()}
+            for k in range(3, 40):
+                (folder / f"t{k:02d}.csv").unlink()
+    assert plans[0] < plans[1] * 1.5  # as large for 43 files as for 6
+    assert len(prof) == 43 and prof["t00.csv"] == (0, 2, 0, "ok") and prof["t39.csv"] == (39, 2, 0, "ok")
+    assert prof["blank.csv"] == (None, None, None, "unreadable: no columns")
+    assert kinds["t39.csv", "id"] == ("int64", 0, 39) and kinds["t39.csv", "c39"] == ("float64", 0, 39)
+    assert kinds["wide.csv", 'a, "b"'] == ("object", 0, 3) and kinds["wide.csv", "n"] == ("object", 1, 3)
+    assert kinds["wide.csv", "z"] == ("float64", 2, 3)
+    assert sum(v[2] for k, v in kinds.items() if k[0] == "parts.csv") == 6
+
+
 def test_bad_cells_are_told(spark, tmp_path):
     path = str(tmp_path / "b.csv")
     (tmp_path / "b.csv").write_text('SEQN,x,"y ""q"""\n1,1,2\n2,<5,3\n3,4,\n')
