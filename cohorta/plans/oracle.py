@@ -456,6 +456,17 @@ _add("batch_facts", " UNION ALL ".join(
     + " UNION ALL SELECT 'dbscan', 'ok', count(DISTINCT CASE WHEN cluster <> -1 THEN cluster END), "
       "count(CASE WHEN cluster = -1 THEN 1 END), count(*) FROM adapt")
 
+for _tag, _rows in (("bk", "plab"), ("bw", "wlab"), ("bd", "adapt")):
+    PARTS[f"{_tag}_rows"] = f"SELECT z.*, l.cluster FROM zed z JOIN {_rows} l ON l.SEQN = z.SEQN"
+    _sil(_tag, f"{_tag}_rows", where="@.cluster <> -1")
+PARTS["wlab"] = "SELECT i AS SEQN, CAST(dense_rank() OVER (ORDER BY root) - 1 AS integer) AS cluster FROM root5"
+_add("batch_scores", " UNION ALL ".join(
+    f"SELECT '{name}' AS algorithm, 'ok' AS status, n_clusters, noise_count, total_samples, "
+    "CASE WHEN n_clusters >= 2 AND n_clusters < total_samples - noise_count THEN 'exact' END AS score_mode, "
+    "CASE WHEN n_clusters >= 2 AND n_clusters < total_samples - noise_count THEN "
+    f"(SELECT round(avg(s), 6) FROM si_{tag}) END AS silhouette FROM (SELECT {_FACTS} FROM {tag}_rows)"
+    for name, tag in (("kmeans", "bk"), ("hierarchical", "bw"), ("dbscan", "bd"))))
+
 # spectral graph
 _add("spectral_invariants", " UNION ALL ".join(
     f"SELECT '{name}' AS step, CAST(count(*) AS bigint) AS n, CAST({K} AS bigint) AS n_clusters, 0 AS misnumbered, "

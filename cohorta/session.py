@@ -62,6 +62,12 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, in any file system that Spark reaches."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder that nothing reads any more."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
