@@ -54,3 +54,22 @@ def plot_scatter_binned(scores: DataFrame, labels: DataFrame, id_col: str, width
 
 def plot_feature_means(labelled: DataFrame, features) -> DataFrame:
     return cluster_means(labelled, features).select("feature", "cluster", "mean", display_label().alias("label"))
+
+
+def agreement(a: DataFrame, b: DataFrame, id_col: str) -> DataFrame:
+    """(n, rand, adjusted): the share of pairs of rows on which two labellings agree, and that share corrected for chance (Hubert &
+    Arabie, 1985), from the counts of rows per pair of labels. Names and numbers of labels play no part."""
+    both = a.select(id_col, F.col("cluster").alias("a")).join(b.select(id_col, F.col("cluster").alias("b")), id_col)
+    cells = both.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+
+    def pairs(counts: DataFrame, name: str) -> DataFrame:
+        return counts.agg(F.coalesce(F.sum(F.col("n") * (F.col("n") - 1) / 2), F.lit(0.0)).alias(name), F.lit(0).alias("one"))
+    sides = [cells.groupBy(side).agg(F.sum("n").alias("n")) for side in "ab"]
+    facts = cells.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.lit(0).alias("one"))
+    for counts, name in ((cells, "s"), (sides[0], "sa"), (sides[1], "sb")):
+        facts = facts.join(pairs(counts, name), "one")  # one row each
+    every = F.col("n") * (F.col("n") - 1) / 2
+    chance, top = F.col("sa") * F.col("sb") / every, (F.col("sa") + F.col("sb")) / 2
+    return facts.select(
+        "n", F.when(F.col("n") > 1, (every + 2 * F.col("s") - F.col("sa") - F.col("sb")) / every).alias("rand"),
+        F.when(F.col("n") > 1, F.when(top == chance, 1.0).otherwise((F.col("s") - chance) / (top - chance))).alias("adjusted"))

@@ -194,12 +194,34 @@ def canonical(labels: DataFrame, id_col: str) -> DataFrame:
         id_col, F.coalesce("number", F.lit(-1)).alias("cluster"))
 
 
+def eigen_check(edges: DataFrame, degree: DataFrame, emb: DataFrame, k: int) -> DataFrame:
+    """(vector, value, residual, overlap) of an embedding: for each vector y its Rayleigh value t, the length of M y - t y
+    beside that of y, and the largest cosine with another vector. It needs no labels and no order of rows.
+    """
+    root = degree.select("id", F.sqrt("degree").alias("s"))
+    y = emb.join(root, "id").selectExpr("id", *[f"e{j} * s AS y{j}" for j in range(k)])
+    sent = normalized_affinity(edges, degree).join(y.withColumnRenamed("id", "src"), "src")
+    m = sent.groupBy(F.col("dst").alias("id")).agg(*[F.sum(F.expr(f"weight * y{j}")).alias(f"m{j}") for j in range(k)])
+    both = y.join(m, "id", "left").fillna(0.0, [f"m{j}" for j in range(k)])
+    sums = [f"sum(y{i} * y{j}) AS g{i}_{j}" for i in range(k) for j in range(i, k)]
+    sums += [f"sum(y{j} * m{j}) AS h{j}" for j in range(k)] + [f"sum(m{j} * m{j}) AS q{j}" for j in range(k)]
+    rows = []
+    for j in range(k):
+        others = [f"abs(g{min(i, j)}_{max(i, j)}) / sqrt(g{i}_{i} * g{j}_{j})" for i in range(k) if i != j]
+        rows.append(f"struct({j} AS vector, h{j} / g{j}_{j} AS value, sqrt(greatest(q{j} / g{j}_{j} - "
+                    f"pow(h{j} / g{j}_{j}, 2), 0D)) AS residual, greatest(0D, {', '.join(others or ['0D'])}) AS overlap)")
+    return both.selectExpr(*sums).selectExpr(f"inline(array({', '.join(rows)}))")
+
+
+def spectral_labels(emb: DataFrame, id_col: str, k: int, seed: int = 42) -> DataFrame:
+    """(id, cluster): K-means on a spectral embedding."""
+    return canonical(kmeans(emb, "id", [f"e{j}" for j in range(k)], k, seed), "id").withColumnRenamed("id", id_col)
+
+
 def spectral(df: DataFrame, id_col: str, features, k: int = 5, neighbors: int = GRAPH_NEIGHBORS,
              seed: int = 42) -> DataFrame:
     """(id, cluster): K-means on the spectral embedding."""
-    emb = _embed(df, id_col, features, k, neighbors)
-    labels = kmeans(emb, "id", [f"e{j}" for j in range(k)], k, seed)
-    return canonical(labels, "id").withColumnRenamed("id", id_col)
+    return spectral_labels(_embed(df, id_col, features, k, neighbors), id_col, k, seed)
 
 
 def discretize(emb: DataFrame, k: int, max_rounds: int = 200) -> DataFrame:

@@ -468,9 +468,27 @@ _add("batch_scores", " UNION ALL ".join(
     for name, tag in (("kmeans", "bk"), ("hierarchical", "bw"), ("dbscan", "bd"))))
 
 # spectral graph
+PARTS["parts_of"] = "SELECT i, min(r) AS comp FROM gwalk GROUP BY i"
 _add("spectral_invariants", " UNION ALL ".join(
     f"SELECT '{name}' AS step, CAST(count(*) AS bigint) AS n, CAST({K} AS bigint) AS n_clusters, 0 AS misnumbered, "
-    "true AS cut_held FROM complete" for name in ("kmeans", "discretize")))
+    f"true AS cut_held, (SELECT least({K}, count(DISTINCT comp)) FROM parts_of) AS n_unit, true AS at_rest, true AS apart "
+    "FROM complete" for name in ("kmeans", "discretize")))
+PARTS["lab_den"] = "SELECT x.cluster AS p, y.cluster AS q FROM lab x JOIN den_b y ON x.SEQN = y.SEQN"
+PARTS["lab_lab"] = "SELECT x.cluster AS p, y.cluster AS q FROM lab x JOIN lab y ON x.SEQN = y.SEQN"
+PARTS["den_den"] = "SELECT x.cluster AS p, y.cluster AS q FROM den_b x JOIN den_b y ON x.SEQN = y.SEQN"
+
+
+def _agree(name: str, table: str) -> str:
+    def half(by):
+        return f"(SELECT sum(n * (n - 1) / 2.0::DOUBLE) FROM (SELECT count(*) AS n FROM {table} GROUP BY {by}))"
+    return (f"SELECT '{name}' AS labellings, n, round((c + 2 * s - a - b) / c, 6) AS rand, "
+            "round((s - a * b / c) / ((a + b) / 2 - a * b / c), 6) AS adjusted "
+            f"FROM (SELECT count(*) AS n, count(*) * (count(*) - 1) / 2.0::DOUBLE AS c, {half('p, q')} AS s, {half('p')} AS a, "
+            f"{half('q')} AS b FROM {table})")
+
+
+_add("labelling_agreement", " UNION ALL ".join(_agree(n, t) for n, t in (
+    ("kmeans dbscan", "lab_den"), ("kmeans kmeans", "lab_lab"), ("dbscan dbscan", "den_den"))))
 _add("knn_graph", "SELECT SEQN, neighbor, rank, round(d2, 6) AS d2 FROM knn")
 _add("knn_affinity", "SELECT src, dst, weight FROM aff")
 _add("graph_degree", "SELECT id, degree FROM deg")

@@ -499,25 +499,45 @@ def spectral_discretize(spark, sf):
 
 @query
 def spectral_invariants(spark, sf):
-    """Both spectral labellings: all rows, k clusters numbered by their smallest member, and a normalised cut not above
-    that of k-means labels from fixed starts."""
+    """Both spectral labellings of one embedding: all rows, k clusters numbered by their smallest member, and a normalised cut
+    not above that of k-means labels from fixed starts. Its vectors are eigenvectors: they stay in direction under the graph
+    matrix, have nothing of each other, and as many of them have the value 1 as there are components."""
     rows, fs = _scaled(spark, sf)
     edges = cut(_edges(spark, sf))
+    degree, comps = cut(spectral.graph_degree(edges)), cut(spectral.graph_components(edges))
+    emb = spectral.embedding(edges, degree, comps, K)
+    facts = spectral.eigen_check(edges, degree, emb, K).agg(
+        F.count(F.when(F.col("value") > 1 - 1e-9, 1)).alias("n_unit"), (F.max("residual") < 1e-3).alias("at_rest"),
+        (F.max("overlap") < 1e-6).alias("apart")).first()
     plain, _ = _lloyd(spark, sf)
     bound = spectral.normalized_cut(edges, plain.select(ID, "cluster"), ID).first()["ncut"]
     out = None
-    for name, method in (("kmeans", spectral.spectral), ("discretize", spectral.spectral_discretize)):
-        labels = cut(method(rows, ID, zs(fs), K))
+    for name, labels in (("kmeans", spectral.spectral_labels(emb, ID, K)), (
+            "discretize", spectral.canonical(spectral.discretize(emb, K).withColumnRenamed("id", ID), ID))):
+        labels = cut(labels)
         ncut = spectral.normalized_cut(edges, labels, ID).first()["ncut"]
         firsts = labels.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.min(ID).alias("low"))
         part = firsts.select("*", F.dense_rank().over(Window.orderBy("low")).alias("at")).agg(
             F.sum("size").alias("n"), F.count(F.lit(1)).alias("n_clusters"),
             F.max(F.abs(F.col("at") - 1 - F.col("cluster"))).alias("misnumbered")).select(
-            F.lit(name).alias("step"), "n", "n_clusters", "misnumbered", F.lit(ncut <= bound + 1e-9).alias("cut_held"))
+            F.lit(name).alias("step"), "n", "n_clusters", "misnumbered", F.lit(ncut <= bound + 1e-9).alias("cut_held"),
+            F.lit(facts["n_unit"]).cast("long").alias("n_unit"), F.lit(facts["at_rest"]).alias("at_rest"),
+            F.lit(facts["apart"]).alias("apart"))
         out = part if out is None else out.unionByName(part)
     return out
 
 
+@query
+def labelling_agreement(spark, sf):
+    """How far K-means and density labels, and each with itself, put the same rows together."""
+    tables, _ = _tables(spark, sf)
+    out = None
+    for one, other in (("kmeans", "dbscan"), ("kmeans", "kmeans"), ("dbscan", "dbscan")):
+        part = compare.agreement(tables[one], tables[other], ID).select(F.lit(f"{one} {other}").alias("labellings"), "n", "rand", "adjusted")
+        out = part if out is None else out.unionByName(part)
+    return _rounded(out)
+
+
 @query
 def spectral_pic(spark, sf):
     rows, fs = _scaled(spark, sf)

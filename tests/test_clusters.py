@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohorta.functions.exprs import zs
-from cohorta.operators import blocks, dbscan, keys, kmeans, neighbors, prepare, sampling, silhouette, spectral, ward
+from cohorta.operators import blocks, compare, dbscan, keys, kmeans, neighbors, prepare, sampling, silhouette, spectral, ward
 from cohorta.sources.tables import survey
 
 FS = ["a", "b", "c"]
@@ -338,3 +338,30 @@ def test_spectral_step_moves_no_edges(spark):
     tables = [vec.edges.name, vec.kept.name]
     vec.close()
     assert not [t for t in tables if spark.catalog.tableExists(t)]
+
+
+def test_eigen_check_tells_a_wrong_embedding(spark, sf):
+    table = survey(spark, sf)
+    fs = prepare.choose_features(table.columns)
+    rows = prepare.standardize(prepare.complete_rows(table, "SEQN", fs), fs)
+    edges = spectral.affinity(neighbors.knn_graph(rows, "SEQN", zs(fs), 10), "SEQN").cache()
+    degree, comps = spectral.graph_degree(edges).cache(), spectral.graph_components(edges).cache()
+    k = comps.select("comp").distinct().count() + 1
+    emb = spectral.embedding(edges, degree, comps, k)
+    good = spectral.eigen_check(edges, degree, emb, k).toPandas()
+    assert good["residual"].max() < 1e-3 and good["overlap"].max() < 1e-6 and (good["value"] > 1 - 1e-9).sum() == k - 1
+    last = f"e{k - 1}"
+    turned = emb.withColumn(last, F.col(last) + F.when(F.col("id") % 7 == 0, 0.02).otherwise(0.0))
+    assert spectral.eigen_check(edges, degree, turned, k).toPandas()["residual"].max() > 1e-3
+    twice = emb.withColumn(last, F.col("e0"))
+    assert spectral.eigen_check(edges, degree, twice, k).toPandas()["overlap"].max() > 0.99
+
+
+def test_agreement_of_labellings(spark):
+    def table(values):
+        return spark.createDataFrame(list(enumerate(values)), "id long, cluster int")
+    same, other = table([0, 0, 1, 1, 2, 2]), table([5, 5, 3, 3, -1, -1])
+    assert tuple(compare.agreement(same, other, "id").first()) == (6, 1.0, 1.0)
+    got = compare.agreement(table([0, 0, 1, 1]), table([0, 1, 0, 1]), "id").first()
+    assert got["n"] == 4 and got["rand"] == pytest.approx(1 / 3) and got["adjusted"] == pytest.approx(-0.5)
+    assert tuple(compare.agreement(same.limit(0), other, "id").first()) == (0, None, None)
