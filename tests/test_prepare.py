@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cohorta.functions.exprs import fixed, half_even_2, zs
 from cohorta.operators import prepare, sampling, stats
 from cohorta.operators.keys import connected_components, dense_index, first_rows
+from cohorta.session import scratch_path
 from cohorta.sources import files
 from cohorta.sources.tables import survey
 
@@ -148,3 +149,19 @@ def test_absent_columns_give_null_means(spark):
     df = spark.createDataFrame([(0, 30.0, 1.0), (0, 40.0, 2.0)], "cluster int, RIDAGEYR double, RIAGENDR double")
     row = stats.key_means(df).first()
     assert row["mean_age"] == 35.0 and row["mean_bmi"] is None and row["size"] == 2
+
+
+def test_documents_of_any_size_are_written_and_read_in_parts(spark):
+    docs = spark.range(2500).selectExpr("'big' AS algorithm", "id AS position", "concat('line ', id) AS text").union(
+        spark.createDataFrame([("small", 0, "head"), ("small", 1, "two\nlines")], "algorithm string, position long, text string"))
+    root = scratch_path(spark, "docs")
+    files.write_documents(docs.repartition(3), root, part_lines=400)
+    whole = {r["algorithm"]: r["content"] for r in files.read_documents(spark, root).collect()}
+    assert whole["big"] == "".join(f"line {k}\n\n" for k in range(2500)) and whole["small"] == "head\n\ntwo\nlines\n\n"
+    parts = files.read_document_parts(spark, root)
+    assert parts.filter("algorithm = 'big'").count() == 7
+    got = files.read_document_parts(spark, root, 401, 805).filter("algorithm = 'big'").orderBy("part").collect()
+    assert [(r["part"], r["first"], r["last"]) for r in got] == [(1, 400, 799), (2, 800, 1199)]
+    assert got[0]["content"].startswith("line 400\n")
+    files.write_documents(docs.limit(0), root, "overwrite")
+    assert files.read_documents(spark, root).count() == 0 == files.read_document_parts(spark, root).count()
