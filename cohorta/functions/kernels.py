@@ -231,15 +231,15 @@ def ward_finish(columns, chunk=512):
 
 
 def distance_sums():
-    """Sum of distances from each point of one block to each cluster of the other, both ways."""
+    """Sum of distances from each point of one block to each cluster of the other, and the rows summed, both ways."""
     def side(pid, dist, cluster, w):
         for c in np.unique(cluster):
             m = cluster == c
-            yield pid, np.full(len(pid), c), dist[:, m] @ w[m]
+            yield pid, np.full(len(pid), c), dist[:, m] @ w[m], np.full(len(pid), w[m].sum())
 
     def run(batches):
         for b in batches:
-            ids, cl, sums = [], [], []
+            ids, cl, sums, rows = [], [], [], []
             for i in range(b.num_rows):
                 dist = np.sqrt(sq_dists(_mat(b, "a_x", i), _mat(b, "b_x", i)))
                 parts = [side(_vec(b, "a_pid", i), dist, _vec(b, "b_cluster", i), _vec(b, "b_wt", i))]
@@ -247,11 +247,13 @@ def distance_sums():
                     parts.append(
                         side(_vec(b, "b_pid", i), dist.T, _vec(b, "a_cluster", i), _vec(b, "a_wt", i)))
                 for part in parts:
-                    for p, c, s in part:
+                    for p, c, s, n in part:
                         ids.append(p)
                         cl.append(c)
                         sums.append(s)
-            yield _emit(["pid", "other", "dist"], [ids, cl, sums], [pa.int64(), pa.int32(), pa.float64()])
+                        rows.append(n)
+            yield _emit(["pid", "other", "dist", "n"], [ids, cl, sums, rows],
+                        [pa.int64(), pa.int32(), pa.float64(), pa.float64()])
     return run
 
 

@@ -372,9 +372,9 @@ def _tasks(blk: Blocks) -> int:
     return cores if blk.n_points <= 8 * BLOCK_ROWS else 4 * cores
 
 
-def sums_by(*keys: str, value: str) -> Callable[[pa.Table], pa.Table]:
-    """Combine result rows of a tile: one per key, with the sum of the value."""
-    return lambda t: t.group_by(list(keys)).aggregate([(value, "sum")]).rename_columns([*keys, value])
+def sums_by(*keys: str, values: tuple) -> Callable[[pa.Table], pa.Table]:
+    """Combine result rows of a tile: one per key, with the sums of the values."""
+    return lambda t: t.group_by(list(keys)).aggregate([(v, "sum") for v in values]).rename_columns([*keys, *values])
 
 
 def run_pairs(blk: Blocks, pairs: DataFrame | None, kernel, schema: str, a_cols, b_cols, combine=None) -> DataFrame:

@@ -64,7 +64,7 @@ class Density:
         """part, block, pid, w, n: rows within eps of each point, itself included."""
         seen = run_pairs(
             self.blocks, self.pairs.open, kernels.count_within(self.eps2), "pid long, n double",
-            ("pid", "wt", "x"), ("pid", "wt", "x"), sums_by("pid", value="n")).groupBy("pid").agg(F.sum("n").alias("n_open"))
+            ("pid", "wt", "x"), ("pid", "wt", "x"), sums_by("pid", values=("n",))).groupBy("pid").agg(F.sum("n").alias("n_open"))
         out, parts = self.blocks.points().join(seen, "pid", "left"), ["coalesce(n_open, 0D)"]
         for level, inside in self.pairs.inside:
             weights = self.blocks.heads().groupBy(level).agg(F.sum("w").alias("w_node"))
