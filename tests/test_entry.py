@@ -1,10 +1,12 @@
 """The entry works where the corpus operators, or a package that they need, are missing."""
 
+import os
 import subprocess
 import sys
 
 import pytest
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 CODE = """
 import sys
 for name in {hidden!r}:
@@ -20,5 +22,6 @@ assert not [n for n in names if n.startswith("op") or n == "pipeline"], "corpus
 def test_entry_without(hidden):
     if "cohorta.llm" not in hidden:
         pytest.importorskip("cohorta.llm", reason="not installed here, so nothing can be hidden from it")
-    done = subprocess.run([sys.executable, "-W", "ignore", "-c", CODE.format(hidden=hidden)], capture_output=True, text=True)
+    done = subprocess.run([sys.executable, "-W", "ignore", "-c", CODE.format(hidden=hidden)], capture_output=True, text=True,
+                          cwd=ROOT)
     assert done.returncode == 0, done.stderr
