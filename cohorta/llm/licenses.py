@@ -1,21 +1,20 @@
 """License scans by conditional compression.
 
-Around each cue word all templates are looked for by the cheapest edits of their words. A block that repeats a template
-costs few bytes once the template is the compressor's dictionary: what each found block saves with its template as
-zstandard raw dictionary decides between templates that fit as well, and is given with it.
+Blocks of about a template's length are cut around its cues, runs of its words of which every copy keeps one. A block
+that repeats a template costs few bytes once the template is the compressor's dictionary: each block is compressed with
+every template as zstandard raw dictionary, templates are ranked by the bytes they save, and in this order those whose
+exact wording differs little enough are confirmed.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import groupby
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 
@@ -23,6 +22,7 @@ from cohorta.llm.common import texts
 
 # Public license notices, by SPDX name or a plain one.
 TEMPLATES = [
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
                    "compliance with the License. You may obtain a copy of the License at "
@@ -34,26 +34,48 @@ TEMPLATES = [
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 "
+                        "International License."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 "
+                        "International License."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0-or-later", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                         "General Public License as published by the Free Software Foundation; either version 2 of the "
+                         "License, or (at your option) any later version."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-                "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
-                "option) any later version."),
+    ("GPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                         "General Public License as published by the Free Software Foundation, either version 3 of the "
+                         "License, or (at your option) any later version."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+            "granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("ISC", "Licensed under the ISC License."),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("MIT", "Released under the MIT License."),
+    ("MIT", "Licensed under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
             "documentation files (the \"Software\"), to deal in the Software without restriction"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("all-rights-reserved", "All rights reserved."),
 ]
-#: A notice has one of these somewhere; a line may end between two words.
-CUES = (r"licen[cs]e|rights[\W_]+reserved|permission[\W_]+is|redistribut|creative[\W_]+commons|cc[\W_]+by|"
-        r"free[\W_]+software|waived[\W_]+all|gnu[\W_]|mozilla")
+# Identifiers that a file's tag line may name; each makes a template of its own.
+TAGGED = ["AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC-BY-4.0", "CC-BY-SA-4.0",
+          "CC0-1.0", "GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later", "ISC",
+          "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "MIT", "MPL-2.0", "Unlicense"]
+TEMPLATES += [(name, f"SPDX-License-Identifier: {name}") for name in TAGGED]
 #: Which share of a template's words may differ.
 DIFFERENT = 0.12
+# Words that are part of a license's name. One more, one less or another one is another license.
+NAMING = {"affero", "apache", "attribution", "bsd", "by", "clause", "commercial", "derivatives", "general", "isc", "later",
+          "lesser", "library", "mit", "mozilla", "nc", "nd", "noncommercial", "noderivatives", "noderivs", "only", "sa",
+          "sharealike", "zero"}
 
 FOUND = "doc_id long, line int, license string, saved double, n_different int, different string, quote string"
 _WORD = re.compile(r"[^\W_]+")
@@ -65,14 +87,60 @@ class Template:
     words: list[str]
     packer: zstandard.ZstdCompressor
 
+    @property
+    def most(self) -> int:
+        """How many of the words may differ."""
+        return int(DIFFERENT * len(self.words))
+
+
+@dataclass(frozen=True)
+class Known:
+    """Templates with what finds them: their cues, and the words that bind."""
+
+    templates: list[Template]
+    cues: ahocorasick.Automaton
+    binding: set[str]
+    alone: zstandard.ZstdCompressor
+
 
 def _packer(held: zstandard.ZstdCompressionDict | None = None) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(level=19, dict_data=held, write_content_size=False, write_dict_id=False)
 
 
-def templates(rows: list[tuple[str, str]]) -> list[Template]:
-    return [Template(name, _WORD.findall(text.lower()), _packer(zstandard.ZstdCompressionDict(
-        text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))) for name, text in rows]
+def cues(words: list[str], most: int) -> list[tuple[int, list[str]]]:
+    """(place, run): the words cut into most + 1 runs. An edit spoils one run at most, so a copy with `most` edits holds
+    at least one of them as it is."""
+    edges = [k * len(words) // (most + 1) for k in range(most + 2)]
+    return [(a, words[a:b]) for a, b in zip(edges, edges[1:])]
+
+
+def known(rows: list[tuple[str, str]]) -> Known:
+    """Templates ready for use. Besides NAMING, those words bind in which templates of two licenses differ that are so
+    alike that one could be taken for the other. Templates without words are left out."""
+    held = [Template(name, words, _packer(zstandard.ZstdCompressionDict(
+        text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)))
+        for name, text in rows if (words := _WORD.findall(text.lower()))]
+    places_of: dict[str, list[tuple[int, int]]] = {}
+    for k, t in enumerate(held):
+        for at, run in cues(t.words, t.most):
+            places_of.setdefault(f" {' '.join(run)} ", []).append((k, at))
+    automaton, binding = ahocorasick.Automaton(), set(NAMING)
+    for cue, spots in places_of.items():
+        automaton.add_word(cue, (len(cue), spots))
+    automaton.make_automaton()
+    for t in held:
+        for other in held:
+            if t.name != other.name and t.most and abs(len(t.words) - len(other.words)) <= t.most and (
+                    len(set(t.words) - set(other.words)) <= t.most):
+                edits = differences(t.words, other.words)
+                if len(edits) <= t.most:
+                    binding |= _edited(edits)
+    return Known(held, automaton, binding, _packer())
+
+
+def _edited(edits: list[str]) -> set[str]:
+    """The words that edits name."""
+    return {w for d in edits for w in _WORD.findall(d)}
 
 
 def differences(wanted: list[str], words: list[str]) -> list[str]:
@@ -110,82 +178,95 @@ def places(wanted: list[int], words: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return row >> 32, n - (row & (unit - 1))
 
 
-def notices(low: str, known: list[Template], alone: zstandard.ZstdCompressor, cue: re.Pattern) -> list[tuple]:
-    """(first character, license, saved, differences, block) of the notices in a text in small letters, in order; no two
-    of them share a word.
+def confirmed(t: Template, words: list[str], binding: set[str]) -> tuple[int, int, list[str]] | None:
+    """(begin, end, edits) of the run of words that reads like the template, or None: at most `most` edits, none of them
+    of a number or of a binding word. Of several runs the one with the fewest edits, then the first."""
+    if len(words) < len(t.words) - t.most:
+        return None
+    numbers = {w: k for k, w in enumerate(dict.fromkeys(words))}
+    if sum(w in numbers for w in t.words) < len(t.words) - t.most:
+        return None
+    edits, begin = places([numbers.get(w, -1) for w in t.words], np.array([numbers[w] for w in words], np.int64))
+    for _, end in sorted((int(edits[e]), e) for e in np.flatnonzero(edits <= t.most).tolist()):
+        own = differences(t.words, words[begin[end]:end])
+        named = _edited(own)
+        if not (named & binding or any(c.isdigit() for w in named for c in w)):
+            return int(begin[end]), end, own
+    return None
 
-    Each cue is looked at with as many words before and after it as any notice that holds it can have. Numbers are part
-    of a license's name: a template with a number that differs is not confirmed.
-    """
-    cues = [m.start() for m in cue.finditer(low)]
-    if not cues:
+
+def _blocks(low: str, found: list[str], held: Known) -> list[tuple[int, int]]:
+    """(first word, end): a block around each place where a cue says that a template may stand, long enough for all
+    that its edits may add. Cues of one copy make one block."""
+    if not held.templates:
         return []
-    spans = [m.span() for m in _WORD.finditer(low)]
-    begins = [a for a, _ in spans]
-    reach = max(len(t.words) + int(DIFFERENT * len(t.words)) for t in known)
-    areas: list[list[int]] = []
-    for at in cues:
-        c = max(bisect_right(begins, at) - 1, 0)
-        if areas and c - reach <= areas[-1][1]:
-            areas[-1][1] = min(c + reach, len(spans))
-        else:
-            areas.append([max(c - reach, 0), min(c + reach, len(spans))])
-    out = []
-    for low_word, high_word in areas:
-        words = [low[a:b] for a, b in spans[low_word:high_word]]
-        numbers = {w: k for k, w in enumerate(dict.fromkeys(words))}
-        codes, found = np.array([numbers[w] for w in words], np.int64), []
-        for k, t in enumerate(known):
-            most = int(DIFFERENT * len(t.words))
-            if sum(w in numbers for w in t.words) < len(t.words) - most:
-                continue
-            edits, begin = places([numbers.get(w, -1) for w in t.words], codes)
-            for end in np.flatnonzero(edits <= most).tolist():
-                a, b = spans[low_word + int(begin[end])][0], spans[low_word + end - 1][1]
-                found.append((int(edits[end]), -len(t.words), k, int(begin[end]), end, a, b))
-        taken = np.zeros(len(words), bool)
-        for same in _alike(sorted(found)):
-            blocks = []
-            for _, _, k, begin, end, a, b in same:
-                if taken[begin:end].any():
-                    continue
-                text = low[a:b]
-                edits = differences(known[k].words, words[begin:end])
-                if not any(c.isdigit() for d in edits for c in d):
-                    saved = 1 - len(known[k].packer.compress(text.encode())) / len(alone.compress(text.encode()))
-                    blocks.append((-saved, k, begin, end, a, edits, text))
-            for saved, k, begin, end, a, edits, text in sorted(blocks, key=lambda r: r[:4]):
-                if not taken[begin:end].any():
-                    taken[begin:end] = True
-                    out.append((a, known[k].name, -saved, edits, text))
-    return sorted(out, key=lambda r: r[0])
+    begins: dict[int, set[int]] = {}
+    line = f" {' '.join(found)} "
+    starts = None
+    for at, (size, spots) in held.cues.iter(line):
+        if starts is None:
+            starts = np.cumsum([0] + [len(w) + 1 for w in found])
+        word = int(np.searchsorted(starts, at - size + 1))
+        for k, place in spots:
+            begins.setdefault(k, set()).add(word - place)
+    out = set()
+    for k, places_ in begins.items():
+        t, group = held.templates[k], []
+        for b in sorted(places_) + [None]:
+            if group and (b is None or b - group[-1] > t.most):
+                out.add((max(group[0] - t.most, 0), min(group[-1] + len(t.words) + t.most, len(found))))
+                group = []
+            if b is not None:
+                group.append(b)
+    return sorted(out)
 
 
-def _alike(found: list[tuple]) -> Iterator[list[tuple]]:
-    """Sorted finds in groups with as many edits of templates of one length."""
-    return (list(own) for _, own in groupby(found, key=lambda r: r[:2]))
+def notices(low: str, held: Known) -> list[tuple]:
+    """(first character, license, saved, differences, notice) of the notices in a text in small letters, in order; no
+    two of them share a word. Of those that would, the one whose template saves most bytes of its block stands, then
+    the one with the fewest edits, then the longer template."""
+    blocks = _blocks(low, _WORD.findall(low), held)
+    if not blocks:
+        return []
+    spans = [m.span() for m in _WORD.finditer(low)]
+    ranked = []
+    for first, end in blocks:
+        text = low[spans[first][0]:spans[end - 1][1]].encode()
+        words = [low[a:b] for a, b in spans[first:end]]
+        whole = len(held.alone.compress(text))
+        saved = [(len(t.packer.compress(text)) - whole, k) for k, t in enumerate(held.templates)]
+        for cost, k in sorted(saved):
+            t = held.templates[k]
+            hit = confirmed(t, words, held.binding)
+            if hit:
+                ranked.append((cost, len(hit[2]), -len(t.words), first + hit[0], first + hit[1], k, hit[2], -cost / whole))
+    out, taken = [], set()
+    for _, _, _, a, b, k, edits, share in sorted(ranked):
+        if taken.isdisjoint(range(a, b)):
+            taken.update(range(a, b))
+            out.append((spans[a][0], held.templates[k].name, share, edits, low[spans[a][0]:spans[b - 1][1]]))
+    return sorted(out, key=lambda r: r[0])
 
 
 def scan(docs: DataFrame, rows: list[tuple[str, str]] | None = None, id_col: str = "doc_id", text_col: str = "text"
          ) -> DataFrame:
-    """One row per notice: doc_id, line (from 0) of its first word, license, saved (share of the compressed size that the
-    template saves), n_different and different (edits of the template's words), quote (the notice, in small letters).
+    """One row per notice: doc_id, line (from 0) of its first word, license, saved (share of its block's compressed size
+    that the template saves), n_different and different (edits of the template's words), quote (the notice, in small
+    letters). `rows` are (license, notice) templates, TEMPLATES if not given; their cues come from their own words.
 
-    One pass where the rows are read; rows without a cue word end there. Null, empty and cue-less texts give no rows,
-    rows without id give rows without id, repeated rows repeated ones. Lines have no say: a text on one line may hold
-    several notices, and a notice may be wrapped anywhere. Of several templates that share words, the one with the
-    fewest differences, then the longest, then the one that saves most counts. An empty table gives no rows.
+    One pass where the rows are read. Null, empty and cue-less texts give no rows, rows without id give rows without id,
+    repeated rows repeated ones. Lines have no say: a text on one line may hold several notices, and a notice may be
+    wrapped anywhere. An empty table gives no rows.
     """
-    rows = rows or TEMPLATES
+    rows = TEMPLATES if rows is None else rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, alone, cue = templates(rows), _packer(), re.compile(CUES, re.I)
+        held = known(rows)
         for batch in batches:
-            some = batch.filter(pc.match_substring_regex(batch.column(1), CUES, ignore_case=True))
             out = []
-            for doc, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
-                low = text.lower()
-                for a, name, saved, edits, quote in notices(low, known, alone, cue):
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                low = text.as_py().lower()
+                for a, name, saved, edits, quote in notices(low, held):
                     out.append((doc, low.count("\n", 0, a), name, saved, len(edits), " ".join(edits), quote))
             if out:
                 yield pa.RecordBatch.from_arrays(

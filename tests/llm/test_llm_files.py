@@ -208,6 +208,58 @@ def test_licenses_on_long_and_wrapped_lines(spark):
     assert {k: sorted(v) for k, v in got.items()} == want
 
 
+@pytest.mark.parametrize("text, want", [
+    ("This work is licensed under the GNU Affero General Public License, version 3.", ["AGPL-3.0"]),
+    ("This work is licensed under the GNU Library General Public License, version 3.", []),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+     ["CC-BY-NC-ND-4.0"]),
+    ("// SPDX-License-Identifier: MIT", ["MIT"]), ("SPDX-License-Identifier: GPL-2.0-or-later", ["GPL-2.0-or-later"]),
+    ("Licensed under the MIT license", ["MIT"]), ("Licensed under the ISC license", ["ISC"]),
+    ("This work is licensed under the GNU Lesser General Public License, version 2.1.", ["LGPL-2.1"]),
+    ("All rights reserved. All rights reserved.", ["all-rights-reserved"] * 2)])
+def test_license_names_bind(text, want):
+    assert [r[1] for r in licenses.notices(text.lower(), licenses.known(licenses.TEMPLATES))] == want
+
+
+def test_licenses_of_the_caller(spark):
+    own = [("House-1", "You can use our recipes in your own kitchen as long as you tell your guests whose they are."), ("none", "...")]
+    rows = [(1, "x You can use our recipes in your kitchen as long as you tell your guests whose they are"), (2, "MIT License")]
+    got = licenses.scan(table(spark, rows), own).collect()
+    assert [(r["doc_id"], r["license"], r["different"]) for r in got] == [(1, "House-1", "-own")]
+    assert licenses.scan(table(spark, rows), []).count() == 0
+    assert licenses.scan(table(spark, [(1, "Released under the MIT License.")] * 2)).count() == 2
+
+
+def test_licenses_against_a_scan_of_all_places():
+    """Every place where the edits of some template are few enough, found by looking at all places, is a notice or
+    shares words with a better one; nothing else is a notice."""
+    rng, held = random.Random(12), licenses.known(licenses.TEMPLATES)
+    filler = sorted({w for t in held.templates for w in t.words} | {f"w{k}" for k in range(60)})
+    for _ in range(150):
+        words = [rng.choice(filler) for _ in range(60)]
+        for t in rng.sample(held.templates, 3):
+            copy = list(t.words)
+            for _ in range(rng.randrange(t.most + 2)):
+                at = rng.randrange(len(copy))
+                copy[at:at + 1] = rng.choice([[], [copy[at], rng.choice(filler)], [rng.choice(filler)]])
+            words += copy + [rng.choice(filler) for _ in range(rng.randrange(30))]
+        numbers = {w: k for k, w in enumerate(dict.fromkeys(words))}
+        codes, want = np.array([numbers[w] for w in words]), set()
+        for t in held.templates:
+            edits, begin = licenses.places([numbers.get(w, -1) for w in t.words], codes)
+            for end in np.flatnonzero(edits <= t.most).tolist():
+                own = licenses.differences(t.words, words[begin[end]:end])
+                named = {w for d in own for w in d.replace(">", " ").strip("+-").split()}
+                if not (named & held.binding or any(c.isdigit() for w in named for c in w)):
+                    want.add((t.name, int(begin[end]), end))
+        text, got = " ".join(words), []
+        for at, name, _, _, quote in licenses.notices(text, held):
+            first = text[:at].count(" ")
+            got.append((name, first, first + quote.count(" ") + 1))
+        assert set(got) <= want
+        assert all(any(a < end and begin < b for _, a, b in got) for _, begin, end in want)
+
+
 LONG_LICENSE = "line of prose\n" * 30000 + "Licensed under CC BY-NC 4.0."
 
 
