@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Fixed value: the characters [\x20\x09-\x0D] that separate words.
@@ -21,7 +21,19 @@ def parts_for(df: DataFrame, text_col: str = "text", part_bytes: int = 16 << 20)
     return int(size // part_bytes) + 1
 
 
-def without(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Rows of docs whose id is not in dropped(doc_id). A row with a null id cannot be named, so it stays."""
-    gone = dropped.select(F.col("doc_id").alias("_gone_id"))
-    return docs.join(gone, docs[id_col] == gone["_gone_id"], "left_anti")
+def digest(text: Column) -> Column:
+    """128 bits that tell texts apart; null text counts as empty."""
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit(""))))
+
+
+def same_row(docs: DataFrame, named: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """Whether a row of docs is the one that named(named_id, named_digest) means: as much of a row as decisions depend
+    on, its id, null or not, and its text."""
+    return docs[id_col].cast("long").eqNullSafe(named["named_id"]) & (digest(docs[text_col]) == named["named_digest"])
+
+
+def without(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of docs that dropped(doc_id, digest) does not name: rows go by id and text, so neither rows without id nor
+    rows that share an id are taken for one another."""
+    gone = dropped.select(F.col("doc_id").alias("named_id"), F.col("digest").alias("named_digest"))
+    return docs.join(gone, same_row(docs, gone, id_col, text_col), "left_anti")

@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohorta.llm.common import texts, without
+from cohorta.llm.common import texts
 from cohorta.llm.hashing import HASH_BYTES, LETTERS, LOWER, flat_bytes, hash_runs, hash_words, word_spans
 from cohorta.llm.tokens import slices
 
 #: Words per seed; every run of so many words of an item is a seed.
 SEED_WORDS = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
-#: An item counts as leaked from this share of its score against itself, or from so many matching words in a row or so.
+#: An item counts as leaked from this share of its score against itself, or where the alignment scores as much as so many
+#: equal words in a row.
 SHARE, LONG_RUN = 0.5, 13
 #: Bytes of benchmark text that go with one pass over the corpus; more of it takes more passes.
 BLOCK_BYTES = 4 << 20
@@ -88,6 +90,42 @@ def _runs(words: np.ndarray) -> np.ndarray:
     return hash_runs(words, min(len(words), SEED_WORDS)) if len(words) else np.zeros(0, np.uint64)
 
 
+def _finder(block: list, share: float, long_run: int) -> Callable[[pa.Array], Iterator[tuple]]:
+    """What finds a block of items in a column of texts: (row, item_id, score, matches, words) of each leak."""
+    words, first = words_of(pa.array([r["text"] for r in block], pa.string()))
+    items = [words[a:b] for a, b in zip(first[:-1], first[1:])]
+    sizes = sorted({min(len(i), SEED_WORDS) for i in items if len(i)})
+    known = Grams(np.concatenate([_runs(i) for i in items] or [np.zeros(0, np.uint64)]))
+    spots: list[list[tuple[int, int]]] = [[] for _ in known.hashes]
+    for k, item in enumerate(items):
+        for at, gram in enumerate(np.searchsorted(known.hashes, _runs(item)).tolist()):
+            spots[gram].append((k, at))
+    ids = [r["item_id"] for r in block]
+
+    def find(column: pa.Array) -> Iterator[tuple]:
+        for i, j in slices(column, HASH_BYTES):
+            words, first = words_of(column.slice(i, j - i))
+            near: dict[tuple[int, int], list[tuple[int, int]]] = {}
+            for size in sizes:
+                place, hashes = runs_within(words, first, size)
+                where, which = known.find(hashes)
+                own = place[where]
+                doc = np.searchsorted(first, own, "right") - 1
+                for d, at, gram in zip(doc.tolist(), own.tolist(), which.tolist()):
+                    for k, spot in spots[gram]:
+                        pad = len(items[k]) // 4 + 2
+                        low = max(at - spot - pad, int(first[d]))
+                        high = min(at - spot + len(items[k]) + pad, int(first[d + 1]))
+                        near.setdefault((d, k), []).append((low, high))
+            for (d, k), spans in near.items():
+                score, matches = best_of(words, sorted(spans), items[k], share, long_run)
+                full = MATCH * len(items[k])
+                if score >= min(share * full, MATCH * long_run):
+                    yield i + d, ids[k], score / full, matches, len(items[k])
+
+    return find
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, *, share: float = SHARE, long_run: int = LONG_RUN) -> DataFrame:
     """One row per document and benchmark item found in it: doc_id, item_id, score (share of the item's score against
     itself), matches (equal words in the alignment), words (of the item).
@@ -100,40 +138,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, share: float = SHARE, long_r
     """
     rows = texts(docs)
     out = None
-    for block in _blocks(texts(benchmark, "item_id").withColumnRenamed("doc_id", "item_id")):
-        words, first = words_of(pa.array([r["text"] for r in block], pa.string()))
-        items = [words[a:b] for a, b in zip(first[:-1], first[1:])]
-        sizes = sorted({min(len(i), SEED_WORDS) for i in items if len(i)})
-        known = Grams(np.concatenate([_runs(i) for i in items] or [np.zeros(0, np.uint64)]))
-        spots: list[list[tuple[int, int]]] = [[] for _ in known.hashes]
-        for k, item in enumerate(items):
-            for at, gram in enumerate(np.searchsorted(known.hashes, _runs(item)).tolist()):
-                spots[gram].append((k, at))
-        ids = [r["item_id"] for r in block]
-
-        def search(batches: Iterator[pa.RecordBatch], known=known, sizes=sizes, spots=spots, items=items, ids=ids
-                   ) -> Iterator[pa.RecordBatch]:
+    for block in _item_blocks(benchmark):
+        find = _finder(block, share, long_run)
+
+        def search(batches: Iterator[pa.RecordBatch], find=find) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                keys, found = batch.column(0).to_pylist(), []
-                for i, j in slices(batch.column(1), HASH_BYTES):
-                    words, first = words_of(batch.column(1).slice(i, j - i))
-                    near: dict[tuple[int, int], list[tuple[int, int]]] = {}
-                    for size in sizes:
-                        place, hashes = runs_within(words, first, size)
-                        where, which = known.find(hashes)
-                        own = place[where]
-                        doc = np.searchsorted(first, own, "right") - 1
-                        for d, at, gram in zip(doc.tolist(), own.tolist(), which.tolist()):
-                            for k, spot in spots[gram]:
-                                pad = len(items[k]) // 4 + 2
-                                low = max(at - spot - pad, int(first[d]))
-                                high = min(at - spot + len(items[k]) + pad, int(first[d + 1]))
-                                near.setdefault((d, k), []).append((low, high))
-                    for (d, k), spans in near.items():
-                        score, matches = best_of(words, sorted(spans), items[k], share, long_run)
-                        full = MATCH * len(items[k])
-                        if score >= share * full or matches >= long_run:
-                            found.append((keys[i + d], ids[k], score / full, matches, len(items[k])))
+                keys = batch.column(0).to_pylist()
+                found = [(keys[row], *rest) for row, *rest in find(batch.column(1))]
                 if found:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(x, t) for x, t in zip(zip(*found), (
@@ -145,6 +156,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, share: float = SHARE, long_r
     return out
 
 
+def _item_blocks(benchmark: DataFrame) -> Iterator[list]:
+    return _blocks(texts(benchmark, "item_id").withColumnRenamed("doc_id", "item_id"))
+
+
 def best_of(words: np.ndarray, spans: list[tuple[int, int]], item: np.ndarray, share: float, long_run: int
             ) -> tuple[int, int]:
     """The best alignment of the item within spans of a text, overlapping ones taken as one. A span that has too few of
@@ -163,6 +178,20 @@ def best_of(words: np.ndarray, spans: list[tuple[int, int]], item: np.ndarray, s
     return best
 
 
-def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs in which no benchmark item was found; rows without id stay."""
-    return without(docs, leaks(docs, benchmark))
+def clean(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", share: float = SHARE, long_run: int = LONG_RUN
+          ) -> DataFrame:
+    """The rows of docs in which no benchmark item was found, all columns. Each row is kept or dropped where it is read,
+    by its own text, whatever its id."""
+    at = docs.columns.index(text_col)
+    out = docs
+    for block in _item_blocks(benchmark):
+        find = _finder(block, share, long_run)
+
+        def keep(batches: Iterator[pa.RecordBatch], find=find) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                clean_rows = np.ones(batch.num_rows, bool)
+                clean_rows[[row for row, *_ in find(pc.fill_null(batch.column(at), ""))]] = False
+                yield batch.filter(pa.array(clean_rows))
+
+        out = out.mapInArrow(keep, docs.schema)
+    return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohorta.llm.common import WHITE, texts, without
+from cohorta.llm.common import WHITE, digest, same_row, texts
 from cohorta.session import stage
 
 #: Counters of the Misra-Gries summary: a digest held by more than 1/COUNTERS of the rows is always among them.
@@ -23,9 +23,32 @@ def squeezed(text: Column) -> Column:
     return text
 
 
-def _winner() -> Column:
+def _winner(*ties: str) -> Column:
     # Nulls order first, so in this maximum a row without an id wins only where no other row ties with it.
-    return F.max(F.struct("n", F.negative("doc_id").alias("neg")))
+    return F.max(F.struct("n", F.negative("doc_id").alias("neg"), *ties))
+
+
+def _digests(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    """(doc_id, sha, n, more): taken where the rows are read and written down, so texts never move."""
+    return stage(
+        texts(docs, id_col, text_col).select(
+            "doc_id", F.unhex(F.sha2(squeezed(F.col("text")), 256)).alias("sha"),
+            F.char_length("text").cast("long").alias("n"), *more), "digests")
+
+
+def _decided(rows: DataFrame, ties: list[str], counters: int, candidates: int, heavy_rows: int) -> DataFrame:
+    """rows with `best`, what the row of its group that stays looks like, and `size` of the group."""
+    columns, short = rows.columns, F.xxhash64("sha")
+    named = rows.agg(F.expr(f"approx_top_k(xxhash64(sha), {candidates}, {counters})").alias("top")).select(
+        F.explode("top").alias("t")).select(F.col("t.item").alias("short"))
+    heavy = stage(
+        rows.join(F.broadcast(named), short == F.col("short"), "left_semi").groupBy("sha")
+        .agg(_winner(*ties).alias("best"), F.count(F.lit(1)).alias("size")).filter(F.col("size") >= heavy_rows), "heavy")
+    hot = rows.join(F.broadcast(heavy), "sha")
+    group = Window.partitionBy("sha")
+    cold = rows.join(F.broadcast(heavy.select("sha")), "sha", "left_anti").select(
+        *columns, _winner(*ties).over(group).alias("best"), F.count(F.lit(1)).over(group).alias("size"))
+    return hot.select(*columns, "best", "size").unionByName(cold)
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, counters: int = COUNTERS,
@@ -43,27 +66,25 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     in a group without ids. Rows that share id and text are one document given twice: they bear the same decision.
     An empty table gives no rows.
     """
-    rows = stage(
-        texts(docs, id_col, text_col).select(
-            "doc_id", F.unhex(F.sha2(squeezed(F.col("text")), 256)).alias("sha"),
-            F.char_length("text").cast("long").alias("n")),
-        "digests")
-    short = F.xxhash64("sha")
-    named = rows.agg(F.expr(f"approx_top_k(xxhash64(sha), {candidates}, {counters})").alias("top")).select(
-        F.explode("top").alias("t")).select(F.col("t.item").alias("short"))
-    heavy = stage(
-        rows.join(F.broadcast(named), short == F.col("short"), "left_semi").groupBy("sha")
-        .agg(_winner().alias("best"), F.count(F.lit(1)).alias("size")).filter(F.col("size") >= heavy_rows), "heavy")
-    hot = rows.join(F.broadcast(heavy), "sha")
-    group = Window.partitionBy("sha")
-    cold = rows.join(F.broadcast(heavy.select("sha")), "sha", "left_anti").select(
-        "sha", "doc_id", "n", _winner().over(group).alias("best"), F.count(F.lit(1)).over(group).alias("size"))
-    return hot.select("sha", "doc_id", "n", "best", "size").unionByName(cold).select(
+    rows = _digests(docs, id_col, text_col)
+    return _decided(rows, [], counters, candidates, heavy_rows).select(
         "doc_id", F.negative("best.neg").alias("keep_id"), F.col("size").alias("group_size"),
         F.col("doc_id").eqNullSafe(F.negative("best.neg")).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"))
 
 
-def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, all columns; rows without an id stay."""
-    return without(docs, exact_dedup(docs).filter("NOT kept"))
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, counters: int = COUNTERS,
+                candidates: int = CANDIDATES, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """One row of docs of each group of equal texts, all columns: as exact_dedup decides, and among rows without id that
+    tie, the one with the smallest digest of its text. Of rows that share id and text one stays, any of them."""
+    rows = _digests(docs, id_col, text_col, digest(F.col("text")).alias("digest"))
+    decided = _decided(rows, ["digest"], counters, candidates, heavy_rows)
+    stays = F.col("doc_id").eqNullSafe(F.negative("best.neg")) & (F.col("digest") == F.col("best.digest"))
+    fates = stage(decided.groupBy(F.col("doc_id").alias("named_id"), F.col("digest").alias("named_digest")).agg(
+        F.max(stays).alias("stays"), F.count(F.lit(1)).alias("copies")).filter("copies > 1 OR NOT stays"), "fates")
+    out = docs.join(fates, same_row(docs, fates, id_col, text_col), "left_anti")
+    again = fates.filter("stays")
+    if again.isEmpty():
+        return out
+    held = docs.join(again, same_row(docs, again, id_col, text_col)).dropDuplicates(["named_id", "named_digest"])
+    return out.unionByName(held.drop("named_id", "named_digest", "stays", "copies"))

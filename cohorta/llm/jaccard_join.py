@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohorta.llm.common import texts, without
+from cohorta.llm.common import digest, texts, without
 from cohorta.llm.hashing import HASH_BYTES, LOWER, NOT_WHITE, flat_bytes, hash_runs, hash_words, mix, word_spans
 from cohorta.llm.shared import shared_keys
 from cohorta.llm.tokens import slices
@@ -131,20 +131,35 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
        most central; components grow, and lists that lie in one component are done. Pairs in different components that
        still share a list are compared at the end, unless what is known already rules a link out: no link is lost.
 
-    Null text and text without words have no shingles and link with nothing. A row without id takes its component from
-    equal sets, null if they have no id either. Rows that repeat an id count as one document. Empty tables give no
-    rows. Sets are compared by 64-bit hashes of shingles.
+    Null text and text without words have no shingles and link with nothing. Rows without id link like others; their
+    component's id is null if no row of it has one. Rows that repeat an id bear the component of their own text. Empty
+    tables give no rows. Sets are compared by 64-bit hashes of shingles.
     """
+    known, named = _classes(docs, id_col, text_col)
+    # Ids: the smallest of each set, then of each component.
+    lowest = named.groupBy("comp").agg(F.min("own").alias("component_id"))
+    named = named.join(lowest, "comp").select(F.col("sid").alias("set_id"), "component_id")
+    held = known.filter("n > 0")
+    return held.join(named, held["sid"] == named["set_id"]).select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(
+        known.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+
+
+def _classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """known(doc_id, n, sid, digest), a row per document, and named(sid, own, comp), a row per set: the smallest id that
+    holds it and its component. See jaccard_components for the steps."""
     rows = texts(docs, id_col, text_col)
+    marked = rows.withColumn("digest", digest(F.col("text")))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, sid = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
             for row, hashes in shingles(batch.column(1)):
                 n[row], sid[row] = len(hashes), identity(hashes)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(sid)], names=["doc_id", "n", "sid"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(sid), batch.column(2)],
+                                             names=["doc_id", "n", "sid", "digest"])
 
-    known = stage(rows.mapInArrow(measure, "doc_id long, n long, sid long"), "set-sizes")
+    known = stage(marked.mapInArrow(measure, "doc_id long, n long, sid long, digest binary"), "set-sizes")
     total = known.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     sizes = {r["n"]: r["c"] for r in known.filter(F.col("n").between(1, 2 * LARGEST_SMALL)).groupBy("n").agg(
         F.count_distinct("sid").alias("c")).collect()}  # at most 2 * LARGEST_SMALL rows
@@ -157,21 +172,23 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     first = shared_keys(rows, ask, int(total * 0.3), count=True).withColumnRenamed("n", "hits")
     # A partner has at least 3/4 of the size, so at least its margin is shared; the prefixes share one key in any case.
-    owners = known.filter("n > 0").groupBy("sid", "n").agg(F.min("doc_id").alias("doc_id"))
+    owners = known.filter("n > 0").groupBy("sid", "n").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "digest")).alias("row"))
     likely = first.join(owners, first["owner"] == owners["sid"]).filter(
-        F.col("hits") > F.floor(F.floor(F.col("n") * 3 / 4) / 25)).select("doc_id", "sid").filter("doc_id IS NOT NULL")
+        F.col("hits") > F.floor(F.floor(F.col("n") * 3 / 4) / 25)).select(
+        F.col("row.doc_id").alias("own_id"), F.col("row.digest").alias("own_digest"), "sid")
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = np.asarray(batch.column(2), np.int64)
-            # Of rows that repeat an id, only the one with the set asked for counts.
             kept = [(row, h) for row, h in shingles(batch.column(1)) if identity(h) == own[row]]
             if kept:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([int(own[row]) for row, _ in kept], pa.int64()),
                      pa.array([h.view(np.int64) for _, h in kept], pa.list_(pa.int64()))], names=["sid", "keys"])
 
-    sets = stage(rows.join(likely, "doc_id").select("doc_id", "text", "sid").mapInArrow(
+    wanted = F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("digest") == F.col("own_digest"))
+    sets = stage(marked.join(likely, wanted).select("doc_id", "text", "sid").mapInArrow(
         full, "sid long, keys array<long>").dropDuplicates(["sid"]), "likely-sets")
 
     def ask_all(batch: pa.RecordBatch):
@@ -186,15 +203,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = [_small_links(sets, small)] if small else []
     labels = _large_components(sets, small, links)
 
-    # Ids: the smallest of each set, then of each component.
-    named = owners.select("sid", F.col("doc_id").alias("own")).join(labels, "sid", "left").select(
+    return known, owners.select("sid", F.col("row.doc_id").alias("own")).join(labels, "sid", "left").select(
         "sid", "own", F.coalesce("comp", "sid").alias("comp"))
-    lowest = named.groupBy("comp").agg(F.min("own").alias("component_id"))
-    named = named.join(lowest, "comp").select(F.col("sid").alias("set_id"), "component_id")
-    held = known.filter("n > 0")
-    return held.join(named, held["sid"] == named["set_id"]).select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(
-        known.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
 def _small_links(sets: DataFrame, small: int) -> DataFrame:
@@ -294,5 +304,12 @@ def _large_components(sets: DataFrame, small: int, links: list[DataFrame]) -> Da
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of docs without those that have a smaller id in their component; rows without id stay."""
-    return without(docs, jaccard_components(docs).filter("doc_id <> component_id"))
+    """One row of docs of each component, all columns: the one with the smallest id, or where none has an id the one with
+    the smallest digest of its text. Rows that link with nothing stay; rows that share id and text go or stay together."""
+    known, named = _classes(docs)
+    held = known.filter("n > 0").join(named.select("sid", "comp"), "sid").select("doc_id", "digest", "comp")
+    best = held.groupBy("comp").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "digest")).alias("best"),
+        F.count(F.lit(1)).alias("c")).filter("c > 1")
+    stays = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("digest") == F.col("best.digest"))
+    return without(docs, held.join(best, "comp").filter(~stays).select("doc_id", "digest"))

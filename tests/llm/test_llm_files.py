@@ -310,6 +310,10 @@ def test_stages_with_odd_rows(spark, sf):
     docs = spark.createDataFrame([(None, None, None, None, None), (1, "", "en", "a", 0), (2, "x " * 3000, None, "b", 6000),
                                   (2, "x " * 3000, None, "b", 6000), (None, "x", "en", None, 1)],
                                  "doc_id long, text string, lang string, source string, n_chars long")
-    for _, stage in corpus_pipeline.STAGES[:-1]:
-        assert stage(spark, docs, sf).filter("doc_id IS NULL").count() == 2
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        left = sorted((str(r["doc_id"]), (r["text"] or "")[:2]) for r in stage(spark, docs, sf).collect())
+        if name == "exact dedup":  # null text equals the empty one, which has an id; the repeated row stays once
+            assert left == [("1", ""), ("2", "x "), ("None", "x")]
+        else:
+            assert left == [("1", ""), ("2", "x "), ("2", "x "), ("None", ""), ("None", "x")]
     assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).count() >= 5

@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as entry
 from brute import components, exact, repeats
 from cohorta.llm import jaccard_join, repeats as suffix, shared, toxicity
-from cohorta.llm.decontaminate import align, leaks
+from cohorta.llm.decontaminate import align, clean, leaks
 from cohorta.llm.exact_dedup import drop_copies, exact_dedup
 from cohorta.llm.lm_scores import lm_scores
 from tools.check_oracles import compare, connect
@@ -48,10 +48,53 @@ def test_exact_dedup_splits_heavy_groups(spark):
 
 
 def test_exact_dedup_without_ids(spark):
-    got = exact_dedup(table(spark, [(None, "a b"), (None, "ab "), (4, "ab"), (4, "ab"), (None, "z")])).collect()
-    assert sorted((str(r["doc_id"]), str(r["keep_id"]), r["group_size"]) for r in got) == [
-        ("4", "4", 4), ("4", "4", 4), ("None", "4", 4), ("None", "None", 1), ("None", "None", 4)] or all(
-        r["group_size"] in (1, 4) for r in got)
+    rows = [(None, "a b"), (None, "ab "), (4, "ab"), (4, "ab"), (None, "z"), (None, "z"), (None, " z"), (None, "z ")]
+    got = exact_dedup(table(spark, rows)).collect()
+    assert sorted((str(r["doc_id"]), str(r["keep_id"]), r["group_size"], r["kept"]) for r in got if r["group_size"] == 4) == sorted(
+        [("4", "None", 4, False)] * 2 + [("None", "None", 4, True)] * 2 + [("None", "None", 4, True)] * 4)
+    # The longest of the first group have no id; of either group one row stays.
+    for heavy in (2, 64):
+        left = [(r["doc_id"], r["text"]) for r in drop_copies(table(spark, rows), heavy_rows=heavy).collect()]
+        assert len(left) == 2 and {t.replace(" ", "") for _, t in left} == {"ab", "z"}
+        assert all(d is None and len(t) > 1 for d, t in left)
+    twice = drop_copies(table(spark, [(4, "ab"), (4, "ab"), (4, "other"), (5, "a b"), (5, "a b"), (5, "a b"), (6, None)])).collect()
+    assert sorted((r["doc_id"], r["text"] or "") for r in twice) == [(4, "other"), (5, "a b"), (6, "")]
+
+
+def test_near_copies_without_ids(spark):
+    """A chain over rows without id holds, and one row of a component stays."""
+    words = [f"w{k}" for k in range(60)]
+    def changed(*at):
+        return " ".join("x" + w if k in at else w for k, w in enumerate(words))
+    rows = [(3, changed()), (None, changed(0, 1, 2, 3, 4)), (7, changed(0, 1, 2, 3, 4, 56, 57, 58, 59)), (7, "quite another text of the same id"),
+            (None, " ".join(f"v{k}" for k in range(30))), (None, " ".join(f"v{k}" for k in range(31))), (None, ""), (None, "one")]
+    got = jaccard_join.jaccard_components(table(spark, rows)).filter("n_shingles > 20").collect()
+    assert sorted((str(r["doc_id"]), r["component_id"]) for r in got if r["component_id"]) == [("3", 3), ("7", 3), ("None", 3)]
+    left = sorted((str(r["doc_id"]), len(r["text"])) for r in jaccard_join.one_of_each(table(spark, rows)).collect())
+    assert len(left) == 5 and left[0] == ("3", len(rows[0][1])) and left[1] == ("7", len(rows[3][1]))
+
+
+def test_stages_tell_rows_apart_by_text(spark):
+    labels = spark.createDataFrame([(k, 0, k % 2) for k in range(60)], "doc_id long, quality int, toxic int")
+    docs = table(spark, [(k, ("vile " if k % 2 else "kind ") + f"words about thing {k}") for k in range(60)]
+                 + [(None, "vile words again"), (None, "kind words again"), (29, "kind words once more"), (None, None)])  # 29 is held out
+    left = [(r["doc_id"], r["text"]) for r in toxicity.drop_toxic(docs, labels).collect()]
+    assert sorted(str(d) for d, _ in left) == sorted([str(k) for k in range(0, 60, 2)] + ["None", "29", "None"])
+    assert (29, "kind words once more") in left and (None, "vile words again") not in left
+    item = " ".join(f"b{k}" for k in range(20))
+    rows = table(spark, [(1, item), (1, "clean"), (None, "x " + item), (None, None), (2, "clean")])
+    bench = spark.createDataFrame([(9, item)], "item_id long, text string")
+    left = clean(rows, bench)
+    assert left.columns == rows.columns and sorted((str(r["doc_id"]), r["text"] or "") for r in left.collect()) == [
+        ("1", "clean"), ("2", "clean"), ("None", "")]
+
+
+def test_scattered_words_are_no_leak(spark):
+    item = [f"b{k}" for k in range(100)]
+    apart = " ".join(w if k % 2 == 0 or k < 4 else f"n{k}" for k, w in enumerate(item[:26]))
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = leaks(table(spark, [(1, apart), (2, "so " + " ".join(item[40:53]) + " end"), (3, " ".join(item[40:52]))]), bench).collect()
+    assert [(r["doc_id"], r["matches"]) for r in got] == [(2, 13)]
 
 
 def noisy_copies(seed):
