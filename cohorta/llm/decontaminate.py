@@ -189,9 +189,11 @@ def clean(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", shar
 
         def keep(batches: Iterator[pa.RecordBatch], find=find) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                clean_rows = np.ones(batch.num_rows, bool)
-                clean_rows[[row for row, *_ in find(pc.fill_null(batch.column(at), ""))]] = False
-                yield batch.filter(pa.array(clean_rows))
+                column = pc.fill_null(batch.column(at), "")
+                for i, j in slices(column, HASH_BYTES):  # what goes back to the JVM goes in small batches
+                    clean_rows = np.ones(j - i, bool)
+                    clean_rows[[row for row, *_ in find(column.slice(i, j - i))]] = False
+                    yield batch.slice(i, j - i).filter(pa.array(clean_rows))
 
         out = out.mapInArrow(keep, docs.schema)
     return out
