@@ -12,8 +12,11 @@ from cohorta.llm.common import WHITE
 _RATE = 0x9E3779B97F4A7C15  # odd, so that its powers have inverses modulo 2^64
 _LETTERS = np.random.default_rng(20240229).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 
-#: Text hashed at once: the tables of powers and the running sums take some forty bytes per byte of it.
-HASH_BYTES = 1 << 20
+#: Text hashed at once: the tables of powers and the running sums take some hundred bytes per byte of it.
+HASH_BYTES = 1 << 18
+#: Letters of a word, or hashes of its pieces, under one polynomial. Modulo 2^64 some long sequences collide whatever the
+#: letters' values (Thue-Morse words of 1,024 letters); within so few letters those still differ in 40 bits and more.
+PIECE = 32
 
 #: Bytes with A-Z made small; other bytes are kept.
 LOWER = np.arange(256, dtype=np.uint8)
@@ -84,7 +87,22 @@ def span_hash(total: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarr
 
 def hash_words(flat: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each span of bytes; equal spans hash alike wherever they lie."""
-    return span_hash(prefix_hashes(_LETTERS[flat]), begin, end)
+    return _hash_spans(_LETTERS[flat], begin, end)
+
+
+def _hash_spans(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Spans of up to PIECE values by their polynomial, longer ones as the span of the hashes of their pieces."""
+    total = prefix_hashes(values)
+    out = span_hash(total, begin, np.minimum(end, begin + PIECE))
+    long = np.flatnonzero(end - begin > PIECE)
+    if len(long):
+        pieces = -(-(end[long] - begin[long]) // PIECE)
+        stop = np.cumsum(pieces)
+        nth = np.arange(stop[-1]) - np.repeat(stop - pieces, pieces)
+        at = np.repeat(begin[long], pieces) + nth * PIECE
+        hashes = span_hash(total, at, np.minimum(at + PIECE, np.repeat(end[long], pieces)))
+        out[long] = _hash_spans(hashes, stop - pieces, stop)
+    return out
 
 
 def hash_runs(items: np.ndarray, size: int) -> np.ndarray:

@@ -52,12 +52,11 @@ def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 
 
 def op8_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
-    """Of order two, as its SQL says; op8_lm_scores_order3 has longer contexts."""
-    return lm_scores(load(spark, folder, "documents"), order=2).withColumn("log_score", F.round("log_score", 3))
+    return lm_scores(load(spark, folder, "documents")).withColumn("log_score", F.round("log_score", 3))
 
 
-def op8_lm_scores_order3(spark: SparkSession, folder: str) -> DataFrame:
-    return lm_scores(load(spark, folder, "documents"), order=3).withColumn("log_score", F.round("log_score", 3))
+def op8_lm_scores_order2(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scores(load(spark, folder, "documents"), order=2).withColumn("log_score", F.round("log_score", 3))
 
 
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
@@ -83,7 +82,7 @@ def op13_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_html_extraction, op2_license_scan, op3_exact_dedup, op4_ngram_jaccard_join, op5_best_fit_packing,
-        op6_suffix_array_dedup, op7_benchmark_decontamination, op8_lm_scores, op8_lm_scores_order3,
+        op6_suffix_array_dedup, op7_benchmark_decontamination, op8_lm_scores, op8_lm_scores_order2,
         op9_toxicity, op10_token_files, op11_ranked_search, op12_embedding_forest, op13_turn_repair)}
 
 ORACLES = {
@@ -142,6 +141,34 @@ ORACLES = {
                sha256(unhex(coalesce(y.kept, '') || substr(t.h, 2 * coalesce(y.last, 0) + 1))) AS kept_sha256
         FROM t LEFT JOIN y ON y.doc_id = t.doc_id""",
     "op8_lm_scores": """
+        WITH t AS (
+            SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\\x20\\x09-\\x0D]+') AS l
+            FROM documents),
+        w AS (SELECT r, unnest(l) AS word, generate_subscripts(l, 1) AS i FROM t),
+        p AS (
+            SELECT r, i, word, lag(word) OVER o AS p1, lag(word, 2) OVER o AS p2
+            FROM w WINDOW o AS (PARTITION BY r ORDER BY i)),
+        c AS (
+            SELECT r, i, p1, p2, count(*) OVER (PARTITION BY word) - count(*) OVER (PARTITION BY r, word) AS n1,
+                   count(*) OVER (PARTITION BY p1, word) - count(*) OVER (PARTITION BY r, p1, word) AS n2,
+                   count(*) OVER (PARTITION BY p2, p1, word) - count(*) OVER (PARTITION BY r, p2, p1, word) AS n3,
+                   count(*) OVER () - count(*) OVER (PARTITION BY r) AS n
+            FROM p),
+        s AS (
+            SELECT r, CASE WHEN p2 IS NOT NULL AND n3 > 0 THEN 3 WHEN p1 IS NOT NULL AND n2 > 0 THEN 2
+                           WHEN n1 > 0 THEN 1 ELSE 0 END AS used,
+                   CASE used WHEN 3 THEN n3 / lag(n2) OVER o
+                             WHEN 2 THEN pow(0.4::DOUBLE, least(i, 3) - 2) * n2 / lag(n1) OVER o
+                             WHEN 1 THEN pow(0.4::DOUBLE, least(i, 3) - 1) * n1 / n
+                             ELSE pow(0.4::DOUBLE, greatest(least(i, 3), 2)) / (n + 1) END AS v
+            FROM c WINDOW o AS (PARTITION BY r ORDER BY i)),
+        a AS (SELECT r, count(*) AS n, count(*) FILTER (used > 1) AS hits, sum(ln(v)) AS x FROM s GROUP BY r)
+        SELECT doc_id, coalesce(n, 0) AS n_words, coalesce(hits, 0) AS n_pairs, coalesce(n - hits, 0) AS n_backed_off,
+               round(coalesce(x, 0.0), 3) AS log_score
+        FROM t LEFT JOIN a USING (r)""",
+    "op8_lm_scores_order2": """
         WITH t AS (
             SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
                        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 from brute import components, exact, repeats
-from cohorta.llm import jaccard_join, repeats as suffix, shared, toxicity
+from cohorta.llm import hashing, jaccard_join, repeats as suffix, shared, toxicity
 from cohorta.llm.decontaminate import align, clean, leaks
 from cohorta.llm.exact_dedup import drop_copies, exact_dedup
 from cohorta.llm.lm_scores import lm_scores
@@ -33,7 +33,7 @@ def documents(spark, sf):
     return [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
 
 
-@pytest.mark.parametrize("name", ["op3_exact_dedup", "op4_ngram_jaccard_join", "op8_lm_scores"])
+@pytest.mark.parametrize("name", ["op3_exact_dedup", "op4_ngram_jaccard_join", "op8_lm_scores", "op8_lm_scores_order2"])
 def test_against_sql(spark, sf, name):
     text, _, _ = compare(spark, connect(sf), sf, name, entry.queries()[name], entry.oracle_sql()[name])
     assert text.startswith("ok"), text
@@ -128,6 +128,24 @@ def test_jaccard_components(spark, monkeypatch):
     assert by_id(jaccard_join.jaccard_components(table(spark, rows))) == components(rows)
 
 
+def _hashed(words):
+    flat, offsets = hashing.flat_bytes(pa.array(words, pa.string()))
+    return hashing.hash_words(flat, offsets[:-1], offsets[1:])
+
+
+def test_words_without_known_collisions(spark):
+    """Sequences that collide under any polynomial modulo 2^64: Thue-Morse words and their complements."""
+    words = []
+    for k in range(5, 15):
+        plain = "".join("ab"[n.bit_count() % 2] for n in range(1 << k))
+        words += [plain, plain.translate(str.maketrans("ab", "ba")), plain + "a", plain[:-1]]
+    words += ["c" * k for k in (31, 32, 33, 63, 64, 65, 1023, 1024, 1025)]
+    assert len(set(_hashed(words).tolist())) == len(words)
+    assert _hashed(words[::-1])[::-1].tolist() == _hashed(words).tolist()  # a word's hash is its own, wherever it lies
+    rows = list(enumerate(words))
+    assert by_id(jaccard_join.jaccard_components(table(spark, rows))) == {k: (1, k) for k, _ in rows}
+
+
 def test_size_rules():
     for n in range(1, 40):
         for m in range(1, 40):
