@@ -313,6 +313,25 @@ def test_windows_cover_every_word():
         assert (np.unique(text) == [0, 1]).all()
 
 
+def test_scores_come_from_windows_at_every_word():
+    rng = random.Random(5)
+    rows = ["", "x", *(" ".join(rng.choice("abcdefgh") * rng.randrange(1, 4) for _ in range(n)) for n in (22, 23, 24, 25, 26, 90, 3, 3000))]
+    weights, words = toxicity.new_weights(4), toxicity.read_words(pa.array(rows))
+    top = toxicity.top_logits(weights, words, chunk=100)
+    for k, row in enumerate(rows):
+        part = row.split()
+        every = [" ".join(part[i:i + toxicity.WINDOW]) for i in range(max(len(part) - toxicity.WINDOW, 0) + 1)]
+        one = toxicity.read_words(pa.array(every))
+        assert top[k] == pytest.approx(toxicity.window_logits(weights, one, toxicity.windows(one)[0]).max(), abs=1e-4)
+
+
+def test_toxicity_learns_from_long_texts(spark):
+    rows = [(k, ("plain words here " * 60) + ("vequta " if k % 2 else "") + "and some more of them " * 60) for k in range(120)]
+    marks = spark.createDataFrame([(k, 1, k % 2) for k, _ in rows], "doc_id long, quality int, toxic int")
+    got = toxicity.toxicity(table(spark, rows + rows[:9]), marks, fit_rows=100, fit_chars=1500).collect()
+    assert len(got) == 129 and all(r["predicted"] == r["doc_id"] % 2 for r in got)
+
+
 def test_toxicity_on_held_out_rows(spark):
     """Rude words of one family with endings that the fit has not met, in clean prose."""
     rng = random.Random(2)
