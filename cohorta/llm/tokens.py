@@ -17,7 +17,7 @@ END_ID = 2
 #: Pieces whose ids a worker keeps; once there are more, the memory is emptied and filled anew.
 KEPT_PIECES = 400_000
 #: Text handled at once within an Arrow batch.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 # Words that the tokenizer cuts into runs of letters, digits or signs, and single line feeds. The
 # apostrophe, which has rules of its own, and everything beyond these letters are left to the tokenizer.
