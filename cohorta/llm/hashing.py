@@ -54,7 +54,7 @@ def word_spans(flat: np.ndarray, offsets: np.ndarray, within: np.ndarray) -> tup
     return begin, np.flatnonzero(ends) + 1, np.searchsorted(begin, offsets)
 
 
-@lru_cache(maxsize=1)
+@lru_cache(maxsize=2)  # of letters, and of the pieces of long words
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     rate = np.full(n + 1, _RATE, np.uint64)
     back = np.full(n + 1, pow(_RATE, -1, 1 << 64), np.uint64)
@@ -63,7 +63,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the rate and of its inverse, up to n at least; kept for the largest n asked for so far."""
+    """Powers of the rate and of its inverse, up to n at least; tables of the last sizes are kept."""
     return _powers(1 << max(n, 1 << 16).bit_length())
 
 
