@@ -250,6 +250,15 @@ def test_spectral_labels_respect_blobs(spark):
     assert (labels_of(spectral.spectral_sampled(df, "id", FS, 54, 3)) == want).all()
 
 
+def test_discretize_with_more_components_than_clusters(spark):
+    g = np.random.default_rng(6)
+    sizes = (30, 28, 26, 12)
+    x = np.concatenate([g.normal(c, 0.1, (n, 3)) for c, n in zip(((0, 0, 0), (9, 0, 0), (0, 9, 0), (0, 0, 9)), sizes)])
+    got = labels_of(spectral.spectral_discretize(frame(spark, x), "id", FS, 3))
+    assert len(got) == len(x) and (got[:84] == np.repeat([0, 1, 2], sizes[:3])).all()
+    assert set(got[84:]) <= {0, 1, 2}
+
+
 def test_degenerate_inputs(spark):
     one = frame(spark, np.zeros((1, 3)))
     same = frame(spark, np.zeros((40, 3)))
