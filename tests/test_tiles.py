@@ -116,3 +116,42 @@ def test_ward_keeps_partners_and_merges_as_without(spark):
 def test_bound_of_clusters_that_do_not_search():
     x, w = np.array([[0.0, 1.0, 3.0]]), np.ones(3)
     assert kernels.ward_bound(x, w, np.array([1.0, 0.0, 0.0])).tolist() == [1.0, -1.0, -1.0]
+
+
+def test_work_of_a_few_thousand_points_is_spread_over_tasks(spark):
+    df, fs = cloud(spark, 20_000, 2)
+    blk = blocks.pack(df, fs, 20_000)
+
+    def where(batches):
+        from pyspark import TaskContext
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([b.num_rows])], ["at", "n"])
+    near = blk.table.select(F.col("block").alias("a_block")).crossJoin(blk.table.select(F.col("block").alias("b_block"))).filter(
+        "a_block <= b_block")
+    n = blk.table.count()
+    for pairs in (None, near):
+        got = blocks.run_tiles(blk, pairs, where, "at int, n long", ("pid", "x"), ("pid", "x")).groupBy("at").agg(F.sum("n")).collect()
+        assert sum(r[1] for r in got) == n * (n + 1) // 2 and len(got) > 6
+
+
+def test_kernels_decide_as_differences_do_without_taking_them_all(monkeypatch):
+    g = np.random.default_rng(4)
+    plain = kernels.sq_dists
+
+    def refuse(*_):
+        raise AssertionError("all differences taken")
+    for x in (g.normal(size=(4, 90)), g.integers(0, 4, (4, 90)) * 0.25 + 1000, g.normal(size=(4, 90)) * 10.0 ** g.integers(-9, 9, 90)):
+        a, b = x[:, :50], x[:, 30:]
+        d2 = plain(a, b)
+        monkeypatch.setattr(kernels, "sq_dists", refuse)
+        for limit in (0.0, 0.25, float(np.median(d2)), float(d2.max())):
+            assert (kernels.within(a, b, limit) == (d2 <= limit)).all()
+        bound = np.sort(d2, axis=1)[:, 5]
+        r, c, d = kernels._within_bounds(a, b, bound)
+        assert (np.stack([r, c]) == np.stack(np.nonzero(d2 <= bound[:, None]))).all() and (d == d2[r, c]).all()
+        wa, wb = g.integers(1, 9, 50).astype(float), g.integers(1, 9, 60).astype(float)
+        cost = d2 * kernels._ward_weight(wa[:, None], wb[None, :])
+        r, c, least = kernels._cheapest(a, wa, b, wb, np.full(50, np.inf))
+        assert (r == np.arange(50)).all() and (c == cost.argmin(axis=1)).all() and (least == cost.min(axis=1)).all()
+        monkeypatch.setattr(kernels, "sq_dists", plain)
