@@ -317,3 +317,18 @@ def test_stages_with_odd_rows(spark, sf):
         else:
             assert left == [("1", ""), ("2", "x "), ("2", "x "), ("None", ""), ("None", "x")]
     assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).count() >= 5
+
+
+def test_words_of_letters_and_a_sign_need_no_pattern(monkeypatch):
+    from cohorta.llm import tokens
+
+    class Never:
+        def fullmatch(self, word):
+            raise AssertionError(word)
+
+    monkeypatch.setattr(tokens, "_PLAIN", Never())
+    own = tokens.Encoder(tokens.default_path())
+    text = "plain words, only. with (no pattern) needed!"
+    ids, offsets = own.encode(pa.array([text.replace("(", "")]))
+    assert ids.tolist() == own.tokenizer.encode(text.replace("(", ""), add_special_tokens=False).ids
+    assert offsets.tolist() == [0, len(ids)]
