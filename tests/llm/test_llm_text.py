@@ -195,6 +195,28 @@ def test_suffix_array_dedup_of_repeated_and_missing_ids(spark):
     assert sorted((str(r[0]), *r[1:]) for r in got) == sorted(want)
 
 
+def test_segments_of_texts_laid_end_to_end():
+    """A batch of texts gives the segments of each text by itself: runs of passages with the same leftmost least run."""
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("ab é") for _ in range(n)) for n in (0, 49, 50, 51, 0, 300, 7, 80, 0)] + ["a" * 90]
+    flat, offsets = hashing.flat_bytes(pa.array(texts, pa.string()))
+    wanted = np.sort(suffix.run_hashes(flat))[::2]
+    want = []
+    for k, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+        hashes, before = suffix.run_hashes(flat[a:b]).tolist(), None
+        for i in range(b - a - suffix.PASSAGE + 1):
+            place = min(range(i, i + suffix.WIDTH), key=lambda p: (hashes[p], p))
+            if place == before and want and want[-1][0] == k:
+                want[-1][3] = a + i
+            else:
+                want.append([k, hashes[place], a + i, a + i])
+            before = place
+    want = [tuple(x) for x in want if x[1] in set(wanted.tolist())]
+    text, key, first, last = suffix.segments(flat, offsets, wanted)
+    assert list(zip(text.tolist(), key.tolist(), first.tolist(), last.tolist())) == want
+    assert suffix.pieces_of(flat, first, last + 1).to_pylist() == [flat[i:j + 1].tobytes() for _, _, i, j in want]
+
+
 def test_suffix_order_is_sorted():
     rng = np.random.default_rng(1)
     text = np.concatenate((rng.integers(97, 99, 3000), np.zeros(suffix.PASSAGE))).astype(np.uint8)

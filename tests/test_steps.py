@@ -1,5 +1,8 @@
 """What the block kernels look at, and density labels over many blocks and tiles."""
 
+import glob
+import time
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -7,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cohorta.functions import kernels
 from cohorta.operators import blocks, dbscan
+from cohorta.session import CLEANUP, stage
 
 
 def pair(a, b, **columns):
@@ -84,3 +88,19 @@ def test_density_labels_over_many_blocks(spark, monkeypatch, eps, need):
     reached = np.where(near & core[None, :], comp[None, :], len(x)).min(axis=1)
     assert got == [number.get(c, -1) for c in reached]
     assert len(number) > 1 and -1 in got
+
+
+def test_a_staged_table_leaves_no_shuffle_files(spark):
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+
+    def files():
+        return {f for d in dirs for f in glob.glob(f"{d.getPath()}/*/shuffle_*")}
+
+    before, wanted = files(), spark.conf.get(CLEANUP, "false")
+    got = stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    assert sorted(r["count"] for r in got.collect()) == [142] + [143] * 6 and spark.conf.get(CLEANUP) == wanted
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
