@@ -29,6 +29,8 @@ WORDS = 5
 LARGEST_SMALL = 16
 #: Cost of a posting (sort, scan, verification) in subsets.
 POSTING_COST = 4
+#: 64-bit words of a sketch, and sets of a list that a task compares with all of it.
+SKETCH, LIST = 16, 1024
 #: Bounds per posting that the last comparison may look at, and the most rounds that make them fewer before it.
 BOUNDS, ROUNDS = 50, 4
 
@@ -110,6 +112,30 @@ def _margin(n):
     return n // 25
 
 
+def sketch(lists: pa.ListArray) -> np.ndarray:
+    """SKETCH words per set: a bit says whether an odd number of its shingles fall on it. Shingles that two sets share fall
+    out of the exclusive or of their sketches, so it has at most as many bits as there are shingles in just one of them."""
+    width = 64 * SKETCH
+    keys = np.asarray(lists.flatten(), np.int64).view(np.uint64)
+    row = np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths(), np.int64))
+    bits = np.bincount(row * width + (keys % np.uint64(width)).astype(np.int64), minlength=len(lists) * width) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64).reshape(len(lists), SKETCH)
+
+
+def sketched(sets: DataFrame) -> DataFrame:
+    """(sid, s0, s1, ...): the sketch of each set."""
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 1000):
+                part = batch.slice(k, 1000)
+                words = sketch(part.column(1))
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(words[:, w].copy()) for w in range(SKETCH))],
+                                                 names=["sid", *(f"s{w}" for w in range(SKETCH))])
+
+    return sets.select("sid", "keys").mapInArrow(draw, "sid long, " + ", ".join(f"s{w} long" for w in range(SKETCH)))
+
+
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """pairs (a, b) with `both`, how many shingles they share, and whether they link."""
     a, b = (sets.select(F.col("sid").alias(c), F.col("keys").alias(f"keys_{c}")) for c in "ab")
@@ -129,7 +155,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     3. Small sets left over: an equal subset of sets of the two sizes is a link.
     4. Large sets left over are posted under their rarest shingles. Every list compares its sets with one of them, the
        most central; components grow, and lists that lie in one component are done. Pairs in different components that
-       still share a list are compared at the end, unless what is known already rules a link out: no link is lost.
+       still share a list are compared at the end, unless what is known already, or a sketch, rules a link out: no link is lost.
 
     Null text and text without words have no shingles and link with nothing. Rows without id link like others; their
     component's id is null if no row of it has one. Rows that repeat an id bear the component of their own text. Empty
@@ -237,7 +263,7 @@ def _large_components(sets: DataFrame, small: int, links: list[DataFrame]) -> Da
 
     Each list compares its sets with one head. What two sets of a list share is at most the smaller of what they share
     with the head, plus the smaller of what they have beyond the head and not alone; only pairs in different components
-    that can link by this bound are compared. Where lists are so long that even the bounds would be too many, more
+    that can link by this bound, and by the difference of their sketches, are compared. Where lists are so long that even the bounds would be too many, more
     rounds with other heads let the components grow first.
     """
     vertices = sets.select(F.col("sid").alias("v"))
@@ -295,10 +321,18 @@ def _large_components(sets: DataFrame, small: int, links: list[DataFrame]) -> Da
         led = lists.join(heads(lists, F.struct(F.xxhash64("sid", F.lit(turn)), "sid")), "key")
         compare(led.filter("sid <> head").select(F.col("sid").alias("x"), F.col("head").alias("y")))
         lists = live(lists)
-    x, y = (lists.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("sid", "n", "comp", "both", "common")])
-            for s in "xy")
-    compare(x.join(y, "key").filter("sid_x < sid_y AND comp_x <> comp_y").filter(
-        "7 * (least(both_x, both_y) + least(common_x - both_x, common_y - both_y)) >= 3 * (n_x + n_y)").select(
+    # A long list is dealt over several tasks: each of its sets as x goes to one, as y to all of them.
+    dealt = lists.join(lists.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / LIST).cast("int").alias("parts")), "key")
+    drawn = stage(dealt.join(sketched(sets.join(lists.select("sid").distinct(), "sid", "left_semi")), "sid"), "sketched")
+    words = [f"s{w}" for w in range(SKETCH)]
+    parts = {"x": F.pmod(F.xxhash64("sid"), "parts").cast("int"), "y": F.explode(F.sequence(F.lit(0), F.col("parts") - 1))}
+    x, y = (drawn.select("key", parts[s].alias("part"), *[
+        F.col(c).alias(f"{c}_{s}") for c in ("sid", "n", "comp", "both", "common", *words)]) for s in "xy")
+    # Sets that link differ in at most a seventh of both sizes together, and their sketches in no more.
+    differ = " + ".join(f"bit_count({w}_x ^ {w}_y)" for w in words)
+    compare(x.join(y, ["key", "part"]).filter("sid_x < sid_y AND comp_x <> comp_y").filter(
+        "7 * (least(both_x, both_y) + least(common_x - both_x, common_y - both_y)) >= 3 * (n_x + n_y)").filter(
+        f"7 * ({differ}) <= n_x + n_y").select(
         F.col("sid_x").alias("x"), F.col("sid_y").alias("y")))
     return components()
 

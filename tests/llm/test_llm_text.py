@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from brute import components, exact, repeats
@@ -128,6 +129,38 @@ def test_jaccard_components(spark, monkeypatch):
     assert by_id(jaccard_join.jaccard_components(table(spark, rows))) == components(rows)
 
 
+def test_sketches_rule_out_pairs_and_lose_no_link(spark, monkeypatch):
+    """Texts of four passages out of eight share long lists; hardly any two of them link. Without sketches (all alike) the
+    last comparison looks at far more pairs and finds the same."""
+    monkeypatch.setattr(jaccard_join, "LIST", 3)
+    rng, plain, counts = random.Random(6), jaccard_join.compared, []
+    pool = [" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(25)) for _ in range(8)]
+    rows = [(k, " ".join(pool[p] for p in rng.sample(range(8), 4))) for k in range(60)]
+    rows += [(100 + k, text + " end") for k, text in rows[:5]]
+
+    def counting(pairs, sets):
+        counts.append(pairs.count())
+        return plain(pairs, sets)
+
+    monkeypatch.setattr(jaccard_join, "compared", counting)
+    want = components(rows)
+    assert by_id(jaccard_join.jaccard_components(table(spark, rows))) == want
+    drawn = counts[-1]
+    monkeypatch.setattr(jaccard_join, "sketched", lambda sets: sets.select(
+        "sid", *[F.lit(0).cast("long").alias(f"s{w}") for w in range(jaccard_join.SKETCH)]))
+    assert by_id(jaccard_join.jaccard_components(table(spark, rows))) == want
+    assert 3 * drawn < counts[-1], (drawn, counts[-1])
+
+
+def test_sketches_differ_in_no_more_than_their_sets():
+    rng = np.random.default_rng(8)
+    for n in (1, 5, 300):
+        keys = rng.integers(0, 1 << 62, (2, n))
+        keys[1, :n // 2] = keys[0, :n // 2]
+        x, y = jaccard_join.sketch(pa.array(keys.tolist(), pa.list_(pa.int64())))
+        assert sum(int(w).bit_count() for w in (x ^ y).view(np.uint64)) <= 2 * (n - n // 2)
+
+
 def _hashed(words):
     flat, offsets = hashing.flat_bytes(pa.array(words, pa.string()))
     return hashing.hash_words(flat, offsets[:-1], offsets[1:])
