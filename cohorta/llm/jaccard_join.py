@@ -22,7 +22,7 @@ from cohorta.llm.hashing import HASH_BYTES, LOWER, NOT_WHITE, flat_bytes, hash_r
 from cohorta.llm.shared import shared_keys
 from cohorta.llm.tokens import slices
 from cohorta.operators.keys import connected_components
-from cohorta.session import stage
+from cohorta.session import remove, scratch_path, stage, write
 
 WORDS = 5
 #: Sizes up to which listing subsets is considered; the cost decides below it.
@@ -214,8 +214,10 @@ def _classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                      pa.array([h.view(np.int64) for _, h in kept], pa.list_(pa.int64()))], names=["sid", "keys"])
 
     wanted = F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("digest") == F.col("own_digest"))
-    sets = stage(marked.join(likely, wanted).select("doc_id", "text", "sid").mapInArrow(
-        full, "sid long, keys array<long>").dropDuplicates(["sid"]), "likely-sets")
+    spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "likely-sets")
+    write(marked.join(likely, wanted).select("doc_id", "text", "sid").mapInArrow(
+        full, "sid long, keys array<long>").dropDuplicates(["sid"]), path)
+    sets = spark.read.schema("sid long, keys array<long>").parquet(path)
 
     def ask_all(batch: pa.RecordBatch):
         lists = batch.column(1)
@@ -226,6 +228,7 @@ def _classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     second = shared_keys(sets, ask_all, n_left, count=True).withColumnRenamed("n", "hits")
     sets = stage(sets.join(second, sets["sid"] == second["owner"]).filter(
         4 * F.col("hits") >= 3 * F.size("keys")).select("sid", "keys"), "near-sets")
+    remove(spark, path)  # the sets that are done take no disk from the steps to come
     links = [_small_links(sets, small)] if small else []
     labels = _large_components(sets, small, links)
 

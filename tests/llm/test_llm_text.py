@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -10,10 +11,11 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from brute import components, exact, repeats
-from cohorta.llm import hashing, jaccard_join, repeats as suffix, shared, toxicity
+from cohorta.llm import hashing, jaccard_join, lm_scores as ngrams, repeats as suffix, shared, toxicity
 from cohorta.llm.decontaminate import align, clean, leaks
 from cohorta.llm.exact_dedup import drop_copies, exact_dedup
 from cohorta.llm.lm_scores import lm_scores
+from cohorta.session import exists, remove, stage
 from tools.check_oracles import compare, connect
 
 LONG = " ".join(f"word{k}" for k in range(400))
@@ -337,6 +339,45 @@ def test_lm_scores_of_any_order(spark, order):
         assert got[doc][:3] == (len(words), pairs, len(words) - pairs) and got[doc][3] == pytest.approx(x)
 
 
+def test_lm_scores_in_passes_over_the_key_space(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(k, " ".join(rng.choice("abcdefghij") * rng.randrange(1, 3) for _ in range(rng.randrange(0, 30)))) for k in range(60)]
+    whole = by_id(lm_scores(table(spark, rows)))
+    monkeypatch.setattr(ngrams, "GROUP_BYTES", 300)
+    monkeypatch.setattr(ngrams, "PARTITION_BYTES", 300)  # a partition for each group of texts
+    monkeypatch.setattr(ngrams, "PASSES", 3)
+    asked = []
+    border = ngrams._border
+    monkeypatch.setattr(ngrams, "stage", lambda df, label: (asked.append(label), stage(df, label))[1])
+    got = by_id(lm_scores(table(spark, rows)))
+    assert asked.count("ngram-totals") == 3
+    assert all(got[k][:3] == whole[k][:3] and got[k][3] == pytest.approx(whole[k][3]) for k in whole) and len(got) == 60
+    for parts in (1, 2, 3, 7, 1000):  # a partition begins where the one before ends
+        keys = np.array([border(k, parts) for k in range(parts)], np.uint64)
+        assert border(parts, parts) == 1 << 64
+        assert (np.diff(ngrams._parts(keys, parts)) == 1).all()
+        assert (np.diff(ngrams._parts(keys[1:] - np.uint64(1), parts))[:-1] == 1).all()
+
+
+def test_jaccard_join_leaves_no_sets_that_are_done(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(jaccard_join, "remove", lambda spark, path: (made.append(path), remove(spark, path))[1])
+    rows = [(k, f"{LONG} tail{k % 3}") for k in range(12)] + [(20, "nothing like it " * 5)]
+    got = by_id(jaccard_join.jaccard_components(table(spark, rows)))
+    assert {got[k][1] for k in range(12)} == {0} and got[20][1] == 20
+    assert len(made) == 1 and "likely-sets" in made[0] and not exists(spark, made[0])
+
+
+def test_shared_keys_answers_in_little_memory(spark):
+    """A bucket's keys are copied a few times only, and one holds half a million of them."""
+    packed = pa.chunked_array([pa.array([np.arange(k, dtype=np.uint64).tobytes() for k in (3, 1)], pa.binary()),
+                               pa.array([np.arange(2, dtype=np.uint64).tobytes()], pa.binary())])
+    assert shared._flat(packed, np.uint64).tolist() == [0, 1, 2, 0, 0, 1]
+    assert shared._flat(packed.slice(1), np.uint64).tolist() == [0, 0, 1]
+    assert not len(shared._flat(pa.chunked_array([], pa.binary()), np.int64))
+    assert shared.BUCKET_KEYS <= 1 << 19
+
+
 def test_gradient():
     truth = np.array([1, 0, 1, 0])
     words = toxicity.read_words(pa.array(["you idiot go away", "nice day", "what a stupid clown", "hello world"]))
@@ -380,6 +421,19 @@ def test_scores_come_from_windows_at_every_word():
         assert top[k] == pytest.approx(toxicity.window_logits(weights, one, toxicity.windows(one)[0]).max(), abs=1e-4)
 
 
+def test_scores_of_many_windows_stay_in_a_cache():
+    """The states of the windows that are scored at once take no more than a few caches of a core."""
+    rng = random.Random(6)
+    weights = toxicity.new_weights(4)
+    words = toxicity.read_words(pa.array([" ".join(rng.choice("abcdefgh") * rng.randrange(1, 4) for _ in range(6000))]))
+    tracemalloc.start()
+    top = toxicity.top_logits(weights, words)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 4 << 20
+    assert toxicity.top_logits(weights, words, chunk=100) == pytest.approx(top, abs=1e-5)
+
+
 def test_toxicity_learns_from_long_texts(spark):
     rows = [(k, ("plain words here " * 60) + ("vequta " if k % 2 else "") + "and some more of them " * 60) for k in range(120)]
     marks = spark.createDataFrame([(k, 1, k % 2) for k, _ in rows], "doc_id long, quality int, toxic int")
