@@ -160,6 +160,19 @@ def test_ward(spark, finish_at, block_bits):
         assert same_partition(lab, cut_brute(want, len(x), k))
 
 
+def test_ward_cuts_from_a_finer_one(spark, block_bits):
+    """Every cut taken from the one into most clusters is the cut taken by itself; copies give tied heights."""
+    x = points(4, 40, 9)
+    df = frame(spark, x)
+    merges = ward.ward_merges(df, "id", FS)
+    finest = ward.cut_merges(df, "id", merges, len(x) - 3).cache()
+    for k in (1, 2, 3, 6, 40, len(x) - 3):
+        want = ward.cut_merges(df, "id", merges, k)
+        got = ward.cut_merges(df, "id", merges, k, (len(x) - 3, finest))
+        assert got.dtypes == want.dtypes
+        assert (labels_of(got) == labels_of(want)).all() and len(set(labels_of(got))) == k
+
+
 def brute_silhouette(x, lab):
     d = np.sqrt(d2_of(x))
     s = np.zeros(len(x))

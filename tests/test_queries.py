@@ -24,6 +24,13 @@ def test_query(spark, con, sf, name):
     assert text.startswith("ok"), text
 
 
+def test_ward_cut_k_takes_every_cut(spark, con, sf):
+    got = entry.queries()["ward_cut_k"](spark, sf).groupBy("k").count().orderBy("k").collect()
+    assert [(r["k"], r["count"]) for r in got] == [(k, k) for k in range(2, 9)]
+    text, _, _ = compare(spark, con, sf, "ward_cut_k", entry.queries()["ward_cut_k"], entry.oracle_sql()["ward_cut_k"])
+    assert text.startswith("ok"), text
+
+
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     own = {n for n in entry.queries() if n != "pipeline" and not n.startswith("op")}
