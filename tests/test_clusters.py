@@ -1,9 +1,11 @@
 """Clusterings and scores against brute force on small fixtures, copies and hot groups included."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from cohorta.functions import kernels
 from cohorta.functions.exprs import zs
 from cohorta.operators import blocks, compare, dbscan, keys, kmeans, neighbors, prepare, sampling, silhouette, spectral, ward
 from cohorta.sources.tables import survey
@@ -198,6 +200,75 @@ def test_silhouette(spark, data, block_bits):
     assert row["n_anchors"] == len(x) and abs(row["estimate"] - want.mean()) < 1e-9
 
 
+def brute_means(x, labellings):
+    out = {}
+    for name, lab in labellings.items():
+        solid = lab >= 0
+        out[name] = brute_silhouette(x[solid], lab[solid]).mean()
+    return out
+
+
+@pytest.mark.parametrize("held", [1 << 22, 300])
+def test_sums_of_a_tile_for_several_labellings(monkeypatch, held):
+    """Two bands and one with itself, whole and parted to small sums; a copy, a row without a cluster, and weights."""
+    monkeypatch.setattr(kernels, "HELD_SUMS", held)
+    monkeypatch.setattr(kernels, "CHUNK", 16)
+    monkeypatch.setattr(kernels, "STRIP", 5)
+    g = np.random.default_rng(8)
+    x, w = g.normal(size=(3, 120)), g.integers(1, 4, 120).astype(float)
+    x[:, 7] = x[:, 90]
+    labs = [g.integers(0, 3, 120).tolist(), g.integers(5, 9, 120).tolist()]
+    labs[1][7] = None
+    rows = [{"pid": list(range(s, s + 40)), "wt": w[s:s + 40].tolist(), "x": x[:, s:s + 40].tolist(),
+             "one": labs[0][s:s + 40], "two": labs[1][s:s + 40]} for s in (0, 40, 80)]
+    kind = pa.schema([("pid", pa.list_(pa.int64())), ("wt", pa.list_(pa.float64())), ("x", pa.list_(pa.list_(pa.float64()))),
+                      ("one", pa.list_(pa.int32())), ("two", pa.list_(pa.int32()))])
+    table = pa.Table.from_pylist(rows, kind)
+    run, got = kernels.band_sums(["one", "two"]), {}
+    for one, two in (([0, 1], None), ([0, 1], [2]), ([2], None)):
+        for batch in run(table, np.array(one), two and np.array(two)):
+            for r in batch.to_pylist():
+                key = r["pid"], r["lab"], r["other"]
+                got[key] = got.get(key, 0.0) + r["dist"]
+    d = np.sqrt(d2_of(x.T))
+    want = {(i, k, c): (d[i] * w)[[v == c for v in lab]].sum() for k, lab in enumerate(labs) for c in set(lab) - {None}
+            for i in range(120) if lab[i] is not None}
+    assert got.keys() == want.keys() and all(got[key] == pytest.approx(want[key], abs=1e-9) for key in want)
+
+
+def test_silhouettes_of_several_labellings_at_once(spark, data, block_bits):
+    """Noise in one labelling, copies that one of them parts, rows that another has twice, and more points than a few."""
+    x, df = data
+    copy = (d2_of(x)[:, [np.flatnonzero((x == x[:, None]).all(axis=2).sum(axis=1) > 1)[0]]] == 0)[:, 0]
+    g = np.random.default_rng(5)
+    labs = {"plain": np.where(x[:, 0] > 1, 1, 0), "noisy": np.where(x[:, 1] > 2.5, 3, np.where(x[:, 2] > 1, -1, 2)),
+            "parted": np.where(copy, np.arange(len(x)) % 2, g.integers(0, 4, len(x)))}
+    labs["parted"][~copy] += x[~copy, 0] > 9
+    tables = {}
+    for name, lab in labs.items():
+        rows = [(int(i) * 3 + 1, *map(float, r), int(c)) for i, (r, c) in enumerate(zip(x, lab)) if c >= 0]
+        tables[name] = spark.createDataFrame(rows, "id long, a double, b double, c double, cluster int")
+    want = brute_means(x, labs)
+    twice = np.concatenate([np.arange(len(x)), np.arange(0, len(x), 2)])
+    tables["twice"] = tables["plain"].union(tables["plain"].filter("(id - 1) / 3 % 2 = 0"))
+    want["twice"] = brute_means(x[twice], {"twice": labs["plain"][twice]})["twice"]
+    got = silhouette.silhouettes(tables, FS)
+    assert got == pytest.approx(want, abs=1e-9)
+
+
+def test_silhouette_of_many_points_equals_that_of_block_pairs(spark, monkeypatch):
+    x = points(6, 240, 40)
+    df = frame(spark, x).selectExpr("*", "CAST(id % 4 AS int) AS cluster")
+    few = silhouette.silhouette_by_row(df, "id", FS).orderBy("id").collect()
+    monkeypatch.setattr(silhouette, "FEW_POINTS", 10)
+    monkeypatch.setattr(blocks, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(blocks, "BLOCK_BITS", 4)
+    many = silhouette.silhouette_by_row(df, "id", FS).orderBy("id").collect()
+    assert [r["id"] for r in few] == [r["id"] for r in many] and [r["cluster"] for r in few] == [r["cluster"] for r in many]
+    for c in ("a", "b", "s"):
+        assert np.allclose([r[c] for r in few], [r[c] for r in many], atol=1e-12)
+
+
 def test_silhouette_guards(spark, data):
     _, df = data
     one = df.selectExpr("*", "0 AS cluster")
